@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe
+from textloom.llm import bpe, ogg, simhash
 from textloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -23,5 +23,25 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_bpe": op2_bpe}
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stored = ogg.store(docs).select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "media")
+    return ogg.load(stored).select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("loaded.payload").cast("long").alias("payload_bytes"),
+        F.sha2("loaded.payload", 256).alias("payload_sha256"),
+        ogg.tail_crc32("loaded.payload").alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        F.col("loaded.feature").alias("feature"),
+    )
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
+    return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
+
+
+QUERIES = {"op2_bpe": op2_bpe, "op5_media": op5_media, "op9_simhash": op9_simhash}
 SQL: dict[str, str] = {}
