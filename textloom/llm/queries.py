@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, ogg, simhash
+from textloom.llm import bpe, exact_dedup, ogg, simhash, url_filter
 from textloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -38,10 +38,19 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.listed_urls(pages)).drop("listed")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=3)
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op5_media": op5_media, "op9_simhash": op9_simhash}
-SQL: dict[str, str] = {}
+QUERIES = {"op2_bpe": op2_bpe, "op5_media": op5_media, "op7_exact": op7_exact, "op8_urls": op8_urls, "op9_simhash": op9_simhash}
+SQL = {"op7_exact": exact_dedup.SQL, "op8_urls": url_filter.SQL}
