@@ -16,15 +16,14 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from textloom.llm.common import fresh
+from textloom.llm.common import with_made
 
 #: Stands for the word-end marker in the automaton's alphabet, beside the 256 bytes.
 END = "Ā"
@@ -192,25 +191,6 @@ def definition_of(path: str) -> str:
     return text
 
 
-def _with_column(df: DataFrame, source: str, name: str, kind: str, definition: str, method: str) -> DataFrame:
-    """df with the column ``name`` put last, made of the column ``source`` in Arrow batches.
-
-    Only ``source`` goes through Python as a value; the other columns go along untouched.
-    """
-    shared = df.sparkSession.sparkContext.broadcast(definition)
-    at = df.columns.index(source)
-    out_type = pa.binary() if kind == "binary" else pa.string()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        work = getattr(loaded(shared.value), method)
-        for batch in batches:
-            made = pa.array([work(v) for v in batch.column(at).to_pylist()], out_type)
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
-
-    fields = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in df.dtypes)
-    return df.mapInArrow(run, f"{fields}, `{name}` {kind}")
-
-
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of each whole text as binary: little-endian unsigned 32-bit integers.
 
@@ -218,13 +198,11 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     tokens' strings in a text are those tokens. Rows are kept as they are, repeated ones
     included; a column that is already named ``ids`` in any case is an error.
     """
-    if fresh(df.columns, ids) != ids:
-        raise ValueError(f"the column {ids} exists")
-    return _with_column(df, text, ids, "binary", definition_of(path), "encode")
+    shared = df.sparkSession.sparkContext.broadcast(definition_of(path))
+    return with_made(df, text, ids, T.BinaryType(), lambda: loaded(shared.value).encode)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the decoded text of each row's ids; none for null or empty ids gives an empty text."""
-    if fresh(df.columns, text) != text:
-        raise ValueError(f"the column {text} exists")
-    return _with_column(df, ids, text, "string", definition_of(path), "decode")
+    shared = df.sparkSession.sparkContext.broadcast(definition_of(path))
+    return with_made(df, ids, text, T.StringType(), lambda: loaded(shared.value).decode)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,3 +40,22 @@ def ascii_lower(text: Column) -> Column:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     # lower() has a fast path for ASCII; other texts need translate(), as lower() would change their letters too
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, upper, lower))
+
+
+def with_made(df: DataFrame, source: str, name: str, kind: T.DataType, make: Callable[[], Callable]) -> DataFrame:
+    """df with the column ``name`` put last, made of ``source`` in Arrow batches.
+
+    ``make`` is called once a task for the function of one value. The other columns go
+    along as Arrow arrays. A column already named ``name`` in any case is an error.
+    """
+    if fresh(df.columns, name) != name:
+        raise ValueError(f"the column {name} exists")
+    at, to = df.columns.index(source), to_arrow_type(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = make()
+        for batch in batches:
+            made = pa.array([one(v) for v in batch.column(at).to_pylist()], to)
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))

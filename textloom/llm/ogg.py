@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from textloom.llm.common import fresh
+from textloom.llm.common import with_made
 
 #: Fixed values of the Ogg format (RFC 3533).
 CAPTURE, CONTINUED, FIRST, LAST, NO_GRANULE = b"OggS", 1, 2, 4, -1
@@ -170,23 +169,27 @@ def feature(media: Media, payload: bytes) -> str:
     return f"{counts} bad={media.bad_pages} lost={sum(s.lost for s in media.streams)} seconds={media.seconds():.6f} silence={payload.count(0)} kinds={len(set(payload))}"
 
 
+def _loaded(data: bytes | None) -> dict:
+    found = read(data)
+    payload = found.payload
+    return {
+        "payload": payload,
+        "streams": len(found.streams),
+        "pages": sum(s.pages for s in found.streams),
+        "packets": sum(len(s.packets) for s in found.streams),
+        "bad_pages": found.bad_pages,
+        "seconds": found.seconds(),
+        "feature": feature(found, payload),
+    }
+
+
 def store(df: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
     """Add a binary column: each whole text's UTF-8, padded with bytes 0 to a positive multiple of 64, as Ogg.
 
     Null is an empty text, whose payload is 64 bytes 0. All rows and columns stay; a column
     already named ``media`` is an error.
     """
-    if fresh(df.columns, media) != media:
-        raise ValueError(f"the column {media} exists")
-    at = df.columns.index(text)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = pa.array([write(padded((v or "").encode())) for v in batch.column(at).to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, media])
-
-    fields = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in df.dtypes)
-    return df.mapInArrow(run, f"{fields}, `{media}` binary")
+    return with_made(df, text, media, T.BinaryType(), lambda: lambda v: write(padded((v or "").encode())))
 
 
 def load(df: DataFrame, media: str = "media", into: str = "loaded") -> DataFrame:
@@ -194,23 +197,8 @@ def load(df: DataFrame, media: str = "media", into: str = "loaded") -> DataFrame
 
     Null media and bytes without a page have an empty payload and no streams.
     """
-    if fresh(df.columns, into) != into:
-        raise ValueError(f"the column {into} exists")
-    at = df.columns.index(media)
-    kind = pa.struct([("payload", pa.binary()), ("streams", pa.int32()), ("pages", pa.int32()), ("packets", pa.int64()), ("bad_pages", pa.int32()), ("seconds", pa.float64()), ("feature", pa.string())])
-
-    def one(data: bytes | None) -> dict:
-        found = read(data)
-        payload = found.payload
-        return {"payload": payload, "streams": len(found.streams), "pages": sum(s.pages for s in found.streams), "packets": sum(len(s.packets) for s in found.streams), "bad_pages": found.bad_pages, "seconds": found.seconds(), "feature": feature(found, payload)}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = pa.array([one(v) for v in batch.column(at).to_pylist()], kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, into])
-
-    fields = ", ".join(f"`{c.replace('`', '``')}` {t}" for c, t in df.dtypes)
-    return df.mapInArrow(run, f"{fields}, `{into}` struct<payload: binary, streams: int, pages: int, packets: bigint, bad_pages: int, seconds: double, feature: string>")
+    kind = T.StructType.fromDDL("payload binary, streams int, pages int, packets bigint, bad_pages int, seconds double, feature string")
+    return with_made(df, media, into, kind, lambda: _loaded)
 
 
 def tail_crc32(payload: str) -> F.Column:

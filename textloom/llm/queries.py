@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, exact_dedup, ogg, simhash, url_filter
+from textloom.llm import bpe, exact_dedup, language_id, ogg, simhash, url_filter
 from textloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -23,6 +23,13 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs)
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"), F.col("language.ambiguous").alias("ambiguous"))
+
+
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     stored = ogg.store(docs).select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "media")
@@ -52,5 +59,5 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op5_media": op5_media, "op7_exact": op7_exact, "op8_urls": op8_urls, "op9_simhash": op9_simhash}
+QUERIES = {"op2_bpe": op2_bpe, "op3_language": op3_language, "op5_media": op5_media, "op7_exact": op7_exact, "op8_urls": op8_urls, "op9_simhash": op9_simhash}
 SQL = {"op7_exact": exact_dedup.SQL, "op8_urls": url_filter.SQL}
