@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, exact_dedup, language_id, ogg, simhash, url_filter
+from textloom.llm import bpe, exact_dedup, language_id, license_scan, ogg, simhash, url_filter
 from textloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -59,5 +59,12 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.as_hex("fingerprint").alias("fingerprint"), "component_id")
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op3_language": op3_language, "op5_media": op5_media, "op7_exact": op7_exact, "op8_urls": op8_urls, "op9_simhash": op9_simhash}
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    x = "licenses."
+    lists = [F.concat_ws(",", x + c).alias(c) for c in ("base_labels", "labels")]
+    return found.select("doc_id", *[F.col(x + c) for c in ("n_words", "n_base", "first_word", "last_word")], *lists, F.col(x + "score"))
+
+
+QUERIES = {"op2_bpe": op2_bpe, "op3_language": op3_language, "op5_media": op5_media, "op7_exact": op7_exact, "op8_urls": op8_urls, "op9_simhash": op9_simhash, "op10_licenses": op10_licenses}
 SQL = {"op7_exact": exact_dedup.SQL, "op8_urls": url_filter.SQL}
