@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, exact_dedup, language_id, license_scan, ogg, simhash, url_filter
+from textloom.llm import bpe, exact_dedup, language_id, license_scan, ogg, pii, simhash, url_filter
 from textloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -45,6 +45,13 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base, spans = F.col("pii.base"), F.col("pii.spans")
+    counts = [pii.count_of(base, k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    return found.select("doc_id", *counts, F.sha2(pii.as_text(base).cast("binary"), 256).alias("base_sha256"), pii.as_text(spans).alias("spans"))
+
+
 def op7_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -66,5 +73,5 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[F.col(x + c) for c in ("n_words", "n_base", "first_word", "last_word")], *lists, F.col(x + "score"))
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op3_language": op3_language, "op5_media": op5_media, "op7_exact": op7_exact, "op8_urls": op8_urls, "op9_simhash": op9_simhash, "op10_licenses": op10_licenses}
+QUERIES = {"op2_bpe": op2_bpe, "op3_language": op3_language, "op5_media": op5_media, "op6_pii": op6_pii, "op7_exact": op7_exact, "op8_urls": op8_urls, "op9_simhash": op9_simhash, "op10_licenses": op10_licenses}
 SQL = {"op7_exact": exact_dedup.SQL, "op8_urls": url_filter.SQL}
