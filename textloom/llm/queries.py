@@ -6,12 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, exact_dedup, language_id, license_scan, ogg, pii, simhash, url_filter
+from textloom.llm import bpe, exact_dedup, language_id, license_scan, mixing, ogg, pii, simhash, token_counts, url_filter
 from textloom.llm.common import table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.token_counts(docs, WORD_BPE).select("doc_id", "counts.n_words", "counts.n_tokens")
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     ids = bpe.encode(docs, WORD_BPE).select("doc_id", "ids")
@@ -30,6 +35,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"), F.col("language.ambiguous").alias("ambiguous"))
 
 
+def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.mix(docs).select("doc_id", "source", "mix.block", "mix.slot", "mix.position")
+
+
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     stored = ogg.store(docs).select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"), "media")
@@ -73,5 +83,5 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[F.col(x + c) for c in ("n_words", "n_base", "first_word", "last_word")], *lists, F.col(x + "score"))
 
 
-QUERIES = {"op2_bpe": op2_bpe, "op3_language": op3_language, "op5_media": op5_media, "op6_pii": op6_pii, "op7_exact": op7_exact, "op8_urls": op8_urls, "op9_simhash": op9_simhash, "op10_licenses": op10_licenses}
+QUERIES = {"op1_tokens": op1_tokens, "op2_bpe": op2_bpe, "op3_language": op3_language, "op4_mix": op4_mix, "op5_media": op5_media, "op6_pii": op6_pii, "op7_exact": op7_exact, "op8_urls": op8_urls, "op9_simhash": op9_simhash, "op10_licenses": op10_licenses}
 SQL = {"op7_exact": exact_dedup.SQL, "op8_urls": url_filter.SQL}
