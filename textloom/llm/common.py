@@ -24,14 +24,17 @@ def fresh(taken: Iterable[str], name: str) -> str:
     return name
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder in spark.checkpoint.dir.
-
-    A folder of this machine is set only where the session names none, as in local tests.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; one of this machine is set only where the session names none, as in local tests."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+    return sc.getCheckpointDir()
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared folder, which outlives executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

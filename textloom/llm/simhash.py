@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import durable
+from textloom.llm.common import durable, fresh
 from textloom.llm.components import components
 
 #: Fingerprints of a tile: what one comparison holds in memory is its square in bytes, times eight.
@@ -204,5 +204,22 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return out.select(F.col("id").alias(key), "fingerprint", "component_id")
 
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
+    """``docs`` with one document of each component, that of the least key; all columns as they were.
+
+    Of several texts with that key, the one with the least fingerprint and then digest stays.
+    """
+    mark_, id_, twin_ = (fresh(docs.columns, c) for c in ("mark", "kept_id", "twin"))
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    named = docs.select(F.struct(F.col(key).alias("id"), digest.alias("mark")).alias("id"), F.col(text).alias("text"))
+    found = near_duplicates(named, "id", "text", words, radius)
+    stay = durable(found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id.id").alias(id_), F.col("id.mark").alias(twin_)))
+    marked = docs.withColumn(mark_, digest)
+    out = marked.join(stay, marked[key].eqNullSafe(stay[id_]) & (marked[mark_] == stay[twin_]), "left_semi")
+    if stay.groupBy(id_, twin_).count().where("count > 1").limit(1).count():
+        out = out.dropDuplicates([key, mark_])  # rows with one key and text: any of them
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def as_hex(value: str) -> F.Column:
     return F.lower(F.lpad(F.hex(value), 16, "0"))
