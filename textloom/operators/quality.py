@@ -35,7 +35,7 @@ def verdict(spans: DataFrame, key: str = "doc") -> DataFrame:
 
 def pivot(spans: DataFrame, kinds: Sequence[str], key: str = "doc") -> DataFrame:
     """One row a document, the number of spans of each kind in a column of its own, 0 where there are none."""
-    out = spans.groupBy(key).pivot("kind", list(kinds)).agg(F.count("*"))
+    out = spans.groupBy(key).pivot("kind", list(kinds)).agg(F.count(F.lit(1)))
     return out.na.fill(0, list(kinds))
 
 
