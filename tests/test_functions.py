@@ -110,3 +110,23 @@ def test_html(evaluate):
 
 def test_boolean():
     assert [strings.parse_boolean(x) for x in ("Ja", "nein", "maybe", 3)] == [True, False, None, True]
+
+
+def test_account_numbers(evaluate):
+    from textloom.functions import parsing
+
+    assert evaluate(parsing.iban, t="DE89 3704 0044 0532 0130 00") and not evaluate(parsing.iban, t="DE88 3704 0044 0532 0130 00") and not evaluate(parsing.iban, t="x")
+    assert evaluate(parsing.bic, t="COBADEFFXXX") and not evaluate(parsing.bic, t="cob")
+
+
+def test_small_formats(evaluate, spark):
+    from textloom.functions import parsing
+
+    assert evaluate(parsing.diagnosis, t="-") is None and tuple(evaluate(parsing.diagnosis, t="a|b")) == ("a", "b", "")
+    assert evaluate(lambda t: parsing.field(t, "ID:"), t="T0:x|ID:7") == "7" and evaluate(lambda t: parsing.field(t, "Q:"), t="T0:x") is None
+    assert evaluate(parsing.contents, t="<a><content> x  y </content><b><content/></b></a>") == ["x y"]
+    body = '{"metadata": {"layer": "L"}, "document": {"xmi": "<x/>", "userId": "u"}}'
+    assert evaluate(parsing.request, t=body)["document"]["userId"] == "u"
+    notes = spark.createDataFrame([("04109 Bad Dürkheim (Nord)",), ("none",)], "note string")
+    names = spark.createDataFrame([("Bad Dürkheim",), ("Nord",), ("ad D",)], "name string")
+    assert sorted(r["name"] for r in parsing.named_in(notes, names).collect()) == ["Bad Dürkheim", "Nord"]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.functions import dates, names, strings
+from textloom.functions import dates, names, parsing, strings
 from textloom.functions.determinism import key8
 from textloom.operators import lookups, mapping, nearest, places, pseudonyms, quality, spans, terminology
 from textloom.plans import sql
@@ -678,3 +678,53 @@ def place_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = read(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     mentions = joined.select(F.col("c_custkey").alias("doc"), F.explode(F.array(F.struct(F.col("n_name").alias("text"), F.lit(6).alias("level")), F.struct(F.col("r_name").alias("text"), F.lit(4).alias("level")))).alias("m"))
     return places.surrogates(mentions.select("doc", "m.text", "m.level"), geo, "run")
+
+
+# small formats
+
+
+@query("SELECT p_partkey, string_split(p_type, ' ')[1] AS id, string_split(p_type, ' ')[2] AS label, coalesce(string_split(p_type, ' ')[3], '') AS text FROM part")
+def diagnosis_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.replace(F.col("p_type"), F.lit(" "), F.lit("|"))
+    return read(spark, sf_dir, "part").select("p_partkey", parsing.diagnosis(line).alias("d")).select("p_partkey", F.coalesce("d.id", F.lit("")).alias("id"), F.nullif("d.label", F.lit("")).alias("label"), "d.text")
+
+
+@query("SELECT c_custkey, CAST(c_nationkey AS VARCHAR) AS code, c_mktsegment AS segment FROM customer")
+def field_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = F.concat(F.lit("T0:"), "c_name", F.lit("|ID:"), F.col("c_nationkey").cast("string"), F.lit("|COD253;0:"), "c_mktsegment")
+    return read(spark, sf_dir, "customer").select("c_custkey", parsing.field(line, "ID:").alias("code"), parsing.field(line, "COD253;0:").alias("segment"))
+
+
+@query("SELECT n_nationkey, CASE WHEN starts_with(n_name, 'X') THEN '' ELSE 'http://example.org/' || n_name END AS urls FROM nation")
+def internal_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = parsing.internal_concepts(F.array(F.concat("n_name", F.lit("!")), F.lit("X1")), "http://example.org/")
+    return read(spark, sf_dir, "nation").select("n_nationkey", F.array_join(found, ",").alias("urls"))
+
+
+@query("SELECT doc_id, CASE WHEN lang IN ('en', 'de', 'pt') THEN lang ELSE 'de' END AS lang FROM documents WHERE length(text) <= 5000")
+def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parsing.prepared(read(spark, sf_dir, "documents"), 5000).select("doc_id", "lang")
+
+
+@query(
+    """
+    WITH d AS (SELECT o_custkey AS doc, o_orderkey AS ann_id FROM orders), h AS (SELECT o_custkey AS doc, o_orderkey AS ann_id, CASE WHEN o_orderstatus = 'F' THEN 'DATE_BIRTH' ELSE 'DATE_DEATH' END AS kind FROM orders WHERE o_orderstatus IN ('F', 'P'))
+    SELECT d.doc, d.ann_id, coalesce(h.kind, 'DATE') AS kind FROM d LEFT JOIN h ON d.doc = h.doc AND d.ann_id = h.ann_id
+    """
+)
+def referenced_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("ann_id"), "o_orderstatus")
+    holders = rows.where(F.col("o_orderstatus").isin("F", "P")).withColumn("kind", F.when(F.col("o_orderstatus") == "F", "DATE_BIRTH").otherwise("DATE_DEATH"))
+    return parsing.referenced_dates(rows.drop("o_orderstatus"), holders)
+
+
+@query("SELECT DISTINCT p_name AS note, b AS name FROM part, (SELECT DISTINCT string_split(p_name, ' ')[1] AS b FROM part) WHERE list_contains(string_split(lower(p_name), ' '), lower(b))")
+def named_in_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read(spark, sf_dir, "part")
+    return parsing.named_in(part.select(F.col("p_name").alias("note")), part.select(F.element_at(F.split("p_name", " "), 1).alias("name")))
+
+
+@query("SELECT c_nationkey AS place, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS codes FROM customer GROUP BY c_nationkey")
+def collected_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("place"), F.col("c_mktsegment").alias("postcode"))
+    return parsing.collected_codes(rows).select("place", F.array_join("codes", ",").alias("codes"))
