@@ -35,6 +35,12 @@ def test_shift(evaluate, text, days, out):
     assert evaluate(lambda t: dates.shift(t, days), t=text) == out
 
 
+@pytest.mark.parametrize(("text", "out"), [("19.3.", "26.3."), ("28.12", "04.01"), ("03.2025", "04.2025"), ("März 2029", "April 2029"), ("18.02.2025", "25.02.2025"), ("31.2.", "DATE"), ("x", "DATE")])
+def test_shift_of_partial_dates(evaluate, text, out):
+    days = 7 if not text.startswith(("03", "M")) else 31
+    assert evaluate(lambda t: dates.shift(t, days, reference="2024-06-15"), t=text) == out
+
+
 @pytest.mark.parametrize(
     ("text", "parts"),
     [("+49 341 97123", ("+49", "341", "97123")), ("(030) 1234-567", (None, "030", "1234567")), ("0341/97123", ("0", "341", "97123")), ("0049 30 297 43333", ("0049", "30", "29743333")), ("+1 (838) 555-7235", ("+1", "838", "5557235")), ("abc", None)],

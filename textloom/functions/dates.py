@@ -17,6 +17,9 @@ ALPHA = "|".join(sorted((n for names in MONTHS for n in names), key=len, reverse
 DAY_FIRST = r"^\s*(\d{1,2})([./-]\s*)(\d{1,2})([./-]\s*)(\d{4}|\d{2})\s*(\.?)\s*$"
 YEAR_FIRST = r"^\s*(\d{4})([./-]\s*)(\d{1,2})([./-]\s*)(\d{1,2})\s*(\.?)\s*$"
 NAMED = rf"^\s*(\d{{1,2}})(\.?\s*)((?i:{ALPHA})\.?)(\s*)(\d{{4}}|\d{{2}})\s*(\.?)\s*$"
+DAY_MONTH = r"^\s*(\d{1,2})([./-]\s*)(\d{1,2})(\.?)\s*$"
+MONTH_YEAR = r"^\s*(\d{1,2})([./-]\s*)(\d{4})\s*(\.?)\s*$"
+NAMED_YEAR = rf"^\s*((?i:{ALPHA})\.?)(\s*)(\d{{4}})\s*(\.?)\s*$"
 
 
 def _year(text: Column) -> Column:
@@ -57,13 +60,35 @@ def quarter(text: Column, month_first: bool = False) -> Column:
     return F.coalesce(F.date_format(F.date_trunc("QUARTER", parse(text, month_first)), "dd.MM.yyyy"), F.lit("none"))
 
 
-def shift(text: Column, days: Column | int) -> Column:
+def partial(text: Column, days: Column, reference: str) -> Column:
+    """Dates of day and month, or month and year, shifted in their layout; the missing part is the reference date's."""
+    year, _, day = reference.split("-")
+    part = lambda p, i: F.regexp_extract(text, p, i)
+    number = lambda p, i: F.nullif(part(p, i), F.lit("")).cast("int")
+    date = lambda y, m, d: F.date_add(F.try_to_date(F.format_string("%04d-%02d-%02d", y, m, d), "yyyy-MM-dd"), days)
+    two = lambda old, n: F.when(F.length(old) == 2, F.lpad(n.cast("string"), 2, "0")).otherwise(n.cast("string"))
+    a = date(F.lit(int(year)), number(DAY_MONTH, 3), number(DAY_MONTH, 1))
+    b = date(number(MONTH_YEAR, 3), number(MONTH_YEAR, 1), F.lit(int(day)))
+    c = date(number(NAMED_YEAR, 3), month_number(part(NAMED_YEAR, 1)), F.lit(int(day)))
+    long = F.array(*[F.lit(m[0]) for m in MONTHS])
+    return (
+        F.when(text.rlike(MONTH_YEAR), F.concat(two(part(MONTH_YEAR, 1), F.month(b)), part(MONTH_YEAR, 2), F.year(b).cast("string"), part(MONTH_YEAR, 4)))
+        .when(text.rlike(DAY_MONTH), F.concat(two(part(DAY_MONTH, 1), F.dayofmonth(a)), part(DAY_MONTH, 2), two(part(DAY_MONTH, 3), F.month(a)), part(DAY_MONTH, 4)))
+        .when(text.rlike(NAMED_YEAR), F.concat(F.element_at(long, F.month(c)), part(NAMED_YEAR, 2), F.year(c).cast("string"), part(NAMED_YEAR, 4)))
+    )
+
+
+def shift(text: Column, days: Column | int, reference: str | None = None) -> Column:
     """The date so many days later, laid out as before; ``DATE`` where there is none.
 
+    With a ``reference`` date (yyyy-MM-dd) also days and months without a year, and months
+    with a year, take what they lack from it.
+
     Separators, the digits of the year, zeros before one-digit numbers, a month's long or
     short name and a dot at the end are kept.
     """
-    new = F.date_add(parse(text), F.lit(days) if isinstance(days, int) else days)
+    days = F.lit(days) if isinstance(days, int) else days
+    new = F.date_add(parse(text), days)
     part = lambda p, i: F.regexp_extract(text, p, i)
     year = lambda old: F.when(F.length(old) == 2, F.date_format(new, "yy")).otherwise(F.date_format(new, "yyyy"))
     two = lambda old, n: F.when(old.startswith("0") | (F.length(old) == 2), F.lpad(n.cast("string"), 2, "0")).otherwise(n.cast("string"))
@@ -79,4 +104,4 @@ def shift(text: Column, days: Column | int) -> Column:
         .when(text.rlike(NAMED), F.concat(two(part(NAMED, 1), day), part(NAMED, 2), name, part(NAMED, 4), year(part(NAMED, 5)), part(NAMED, 6)))
         .otherwise(F.date_format(new, "yyyy"))
     )
-    return F.coalesce(out, F.lit("DATE"))
+    return F.coalesce(out, F.lit("DATE")) if reference is None else F.coalesce(out, partial(text, days, reference), F.lit("DATE"))
