@@ -33,14 +33,14 @@ def brute_components(ids, prints, radius=3):
 
 def test_fingerprints(odd_texts, rng):
     for t in [*odd_texts, "one", "one two", "a b c a b c", "Ä B\x0bC d"]:
-        assert simhash.fingerprint(t) == brute_fingerprint(t), (t or "")[:40]
+        assert int(simhash.fingerprint(t)[0]) == brute_fingerprint(t), (t or "")[:40]
 
 
 def test_long_texts_go_slice_by_slice(monkeypatch):
     text = " ".join(str(i % 97) for i in range(900))
-    whole = simhash.fingerprint(text)
+    whole = simhash.fingerprint(text, 5, 256).tolist()
     monkeypatch.setattr(simhash, "SLICE", 50)
-    assert simhash.fingerprint(text) == whole
+    assert simhash.fingerprint(text, 5, 256).tolist() == whole and len(set(whole)) == 4
 
 
 @pytest.mark.parametrize(("tile", "part"), [(512, 4096), (4, 4096), (4, 6)])
@@ -84,14 +84,51 @@ def test_query(spark, docs, tmp_path):
     assert sorted((str(r["doc_id"]), r["fingerprint"], str(r["component_id"])) for r in rows) == want
 
 
+def wide_components(ids, texts):
+    return brute_components(ids, [int.from_bytes(simhash.fingerprint(t, 5, 256).tobytes(), "little") for t in texts], simhash.radius_of(0.8))
+
+
 def test_keep_one(docs, none):
     out = simhash.keep_one(docs)
     given = docs.collect()
-    groups = brute_components([r["doc_id"] for r in given], [brute_fingerprint(r["text"]) for r in given])
+    groups = wide_components([r["doc_id"] for r in given], [r["text"] for r in given])
     assert out.columns == docs.columns and out.count() == len(set(groups))
     assert simhash.keep_one(none).count() == 0
 
 
+def test_near_copies_are_found_and_others_left(spark):
+    r, pool = random.Random(8), [f"w{i}" for i in range(3000)]
+    rows, copies = [], 0
+    for i in range(120):
+        words = [r.choice(pool) for _ in range(r.choice((90, 300)))]
+        rows.append((10 * i, " ".join(words)))
+        for k in range(i % 3):
+            changed = list(words)
+            for at in r.sample(range(len(words)), len(words) // 90):  # a similarity of about 0.9
+                changed[at] = "other"
+            rows.append((10 * i + k + 1, " ".join(changed)))
+            copies += 1
+    out = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = {x["doc_id"] for x in out.collect()}
+    assert {10 * i for i in range(120)} <= kept and len(kept) <= 120 + copies // 50
+
+
+@pytest.mark.parametrize(("tile", "part"), [(512, 4096), (8, 4096), (8, 40)])
+def test_a_dense_group_is_one_component(spark, monkeypatch, tile, part):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    monkeypatch.setattr(simhash, "PART", part)
+    g = np.random.default_rng(tile)
+    seed = g.integers(0, 2, 256)
+    rows = []
+    for _ in range(150):
+        bits = seed.copy()
+        bits[g.permutation(256)[:15]] ^= 1
+        rows.append((bytearray(np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()),))
+    frame = spark.createDataFrame(rows, "fingerprint binary").distinct()
+    found = components.components(simhash.near_links(frame, 45, 256)).collect()
+    assert len({bytes(x["root"]) for x in found}) == 1 and len(found) == frame.count()
+
+
 def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7)], "u long, v long")
     rows = {r["node"]: r["root"] for r in components.components(edges).collect()}

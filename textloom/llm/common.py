@@ -45,8 +45,12 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, upper, lower))
 
 
-def with_made(df: DataFrame, source: str, name: str, kind: T.DataType, make: Callable[[], Callable]) -> DataFrame:
-    """df with the column ``name`` put last, made of ``source`` in Arrow batches.
+#: Rows of which values are in Python at a time; a batch of Arrow has many more.
+ROWS = 256
+
+
+def with_made(df: DataFrame, source: str, name: str, kind: T.DataType, make: Callable[[], Callable], keep: bool = True) -> DataFrame:
+    """df with the column ``name`` put last, made of ``source`` in Arrow batches, and without ``source`` unless ``keep``.
 
     ``make`` is called once a task for the function of one value. The other columns go
     along as Arrow arrays. A column already named ``name`` in any case is an error.
@@ -54,11 +58,14 @@ def with_made(df: DataFrame, source: str, name: str, kind: T.DataType, make: Cal
     if fresh(df.columns, name) != name:
         raise ValueError(f"the column {name} exists")
     at, to = df.columns.index(source), to_arrow_type(kind)
+    stay = [i for i in range(len(df.columns)) if keep or i != at]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for batch in batches:
-            made = pa.array([one(v) for v in batch.column(at).to_pylist()], to)
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, name])
+            for start in range(0, batch.num_rows, ROWS):
+                rows = batch.slice(start, ROWS)
+                made = pa.array([one(v) for v in rows.column(at).to_pylist()], to)
+                yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in stay), made], [*(rows.schema.names[i] for i in stay), name])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, kind)]))
+    return df.mapInArrow(run, T.StructType([*(df.schema.fields[i] for i in stay), T.StructField(name, kind)]))
