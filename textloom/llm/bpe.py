@@ -13,9 +13,14 @@ has been absorbed on its own side by then.
 
 from __future__ import annotations
 
+import copy
+import gc
 import json
 import re
+import sys
 import unicodedata
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 
 import ahocorasick
@@ -31,8 +36,12 @@ END = "Ā"
 WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
 LATIN = re.compile("[!-~¡-ɏ]*")
 PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
-CACHED_CHUNKS = 250_000
+#: Entries of a cache's generation: the older of two goes when the newer is full, and what is used moves to the newer.
+GENERATION = 100_000
 NEVER = 1 << 30
+#: Stands before a word; larger than any token.
+START = (1 << 20) - 1
+MOST_PAIRS = 500_000
 
 
 def byte_chars() -> dict[str, str]:
@@ -42,6 +51,37 @@ def byte_chars() -> dict[str, str]:
     return {chr(b): chr(b) for b in plain} | {chr(256 + i): chr(b) for i, b in enumerate(rest)}
 
 
+class Cache(dict):
+    """Two generations of made values; what both lack is made."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= GENERATION:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def strings_of(spec: dict) -> dict[int, str]:
+    return {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+
+
+class Decoder:
+    def __init__(self, definition: str):
+        self.strings = strings_of(json.loads(definition))
+
+    def decode(self, ids: bytes | None) -> str:
+        """The tokens' strings with a space between: the file names no decoder, and special tokens stay."""
+        return " ".join(map(self.strings.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+
+
 class PrefixBpe:
     """One vocabulary; made once in each Python worker."""
 
@@ -52,9 +92,8 @@ class PrefixBpe:
         model, library = spec["model"], Tokenizer.from_str(definition)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         self.suffix = model["end_of_word_suffix"] or ""
-        self.strings = {i: t for t, i in model["vocab"].items()}
+        self.strings = strings_of(spec)
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.strings |= {i: t for t, i in special.items()}
         self.special = {t: np.uint32(i).astype("<u4").tobytes() for t, i in special.items()}
         self.specials = re.compile("(" + "|".join(re.escape(t) for t in sorted(special, key=len, reverse=True)) + ")") if special else None
         self.to_byte = byte_chars()
@@ -67,6 +106,8 @@ class PrefixBpe:
         self.pairs: dict[int, bool] = {}
         self.automaton = ahocorasick.Automaton()
         self.whole: set[int] = set()
+        if max(self.strings) >= START:
+            raise ValueError("a vocabulary of over a million tokens")
         for i in [i for i in ids.values() if i not in self.made] + list(self.made):  # parts before what is made of them
             if i in special.values():
                 continue
@@ -78,7 +119,14 @@ class PrefixBpe:
                 self.whole.add(i)
                 self.automaton.add_word(text, (len(text), i))
         self.automaton.make_automaton()
-        self.chunks: dict[str, bytes] = {}
+        self.sizes = {i: n for n, i in self.automaton.values()}
+        self.chunks, self.known = Cache(self._chunk), Cache(self._word)
+
+    def fresh(self) -> PrefixBpe:
+        """The same vocabulary with caches of its own, which go with it."""
+        out = copy.copy(self)
+        out.chunks, out.known = Cache(out._chunk), Cache(out._word)
+        return out
 
     def _bytes(self, token: str) -> str:
         end = bool(self.suffix) and token.endswith(self.suffix)
@@ -107,42 +155,34 @@ class PrefixBpe:
 
     def word(self, text: str) -> list[int]:
         """Ids of a word given as bytes in characters, its end marker included."""
-        last: list[int] = [-1] * (len(text) + 1)
-        pairs, apart = self.pairs, self._apart
+        # last[i] is the last token of the prefix that ends at i; before the word, at -1, stands START, which fits all
+        last: list[int] = [-1] * len(text) + [START]
+        pairs = self.pairs
         for at, (size, token) in self.automaton.iter(text):
-            if last[at + 1] >= 0:
-                continue
-            if size == at + 1:
-                last[at + 1] = token
-                continue
-            before = last[at + 1 - size]
-            if before < 0:
-                continue
-            key = before << 32 | token
-            fits = pairs.get(key)
-            if fits is None:
-                if len(pairs) > 1_000_000:
-                    pairs.clear()
-                fits = pairs[key] = apart(before, token)
-            if fits:
-                last[at + 1] = token
-        out, at = [], len(text)
-        while at > 0:
+            if last[at] < 0:
+                before = last[at - size]
+                if before >= 0:
+                    key = before << 20 | token
+                    fits = pairs.get(key)
+                    if fits is None:
+                        if len(pairs) >= MOST_PAIRS:
+                            pairs.clear()
+                        fits = pairs[key] = before == START or self._apart(before, token)
+                    if fits:
+                        last[at] = token
+        out, at, sizes = [], len(text) - 1, self.sizes
+        while at >= 0:
             token = last[at]
             if token < 0:
                 raise ValueError("the vocabulary lacks a byte of this word")
             out.append(token)
-            at -= self.sizes[token]
+            at -= sizes[token]
         return out[::-1]
 
-    @property
-    def sizes(self) -> dict[int, int]:
-        if not hasattr(self, "_sizes"):
-            self._sizes = {i: n for n, i in self.automaton.values()}
-        return self._sizes
-
     def words(self, chunk: str) -> list[str]:
         """The pre-tokenizer's words of a chunk without white space, as bytes in characters."""
+        if chunk.isascii() and chunk.isalpha():
+            return [chunk.lower()]
         if LATIN.fullmatch(chunk) and unicodedata.is_normalized("NFC", chunk):
             low = "".join(c.lower() for c in chunk) if not chunk.isascii() else chunk.lower()
             if PLAIN.fullmatch(low):
@@ -163,23 +203,29 @@ class PrefixBpe:
     def _plain(self, text: str) -> bytes:
         # these four split a text for Python, but are ordinary characters to the tokenizer
         parts = re.split(r"[^\S\x1c-\x1f]+", text) if re.search(r"[\x1c-\x1f]", text) else text.split()
-        known = self.chunks
-        for chunk in set(parts):
-            if chunk not in known:
-                if len(known) >= CACHED_CHUNKS:
-                    known = self.chunks = {c: known[c] for c in set(parts) if c in known}
-                end = END if self.suffix else ""
-                known[chunk] = np.array([i for w in self.words(chunk) for i in self.word(w + end)], "<u4").tobytes()
-        return b"".join(map(known.__getitem__, parts))
+        return b"".join(map(self.chunks.__getitem__, parts))
 
-    def decode(self, ids: bytes | None) -> str:
-        """The tokens' strings with a space between: the file names no decoder, and special tokens stay."""
-        return " ".join(map(self.strings.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+    def _chunk(self, chunk: str) -> bytes:
+        words = self.words(chunk)
+        return self.known[words[0]] if len(words) == 1 else b"".join(map(self.known.__getitem__, words))
+
+    def _word(self, word: str) -> bytes:
+        ids = array("I", self.word(word + END if self.suffix else word))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
 
 @lru_cache(maxsize=2)
 def loaded(definition: str) -> PrefixBpe:
-    return PrefixBpe(definition)
+    made = PrefixBpe(definition)
+    gc.freeze()  # its many tuples stay, so later collections needn't look at them
+    return made
+
+
+@lru_cache(maxsize=2)
+def decoder(definition: str) -> Decoder:
+    return Decoder(definition)
 
 
 def definition_of(path: str) -> str:
@@ -191,18 +237,19 @@ def definition_of(path: str) -> str:
     return text
 
 
-def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", keep: bool = True) -> DataFrame:
     """Add the ids of each whole text as binary: little-endian unsigned 32-bit integers.
 
     Null and empty texts, and texts of white space, have no ids (empty binary). Special
     tokens' strings in a text are those tokens. Rows are kept as they are, repeated ones
-    included; a column that is already named ``ids`` in any case is an error.
+    included; a column that is already named ``ids`` in any case is an error. Without
+    ``keep`` the text column goes.
     """
     shared = df.sparkSession.sparkContext.broadcast(definition_of(path))
-    return with_made(df, text, ids, T.BinaryType(), lambda: loaded(shared.value).encode)
+    return with_made(df, text, ids, T.BinaryType(), lambda: loaded(shared.value).fresh().encode, keep)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Add the decoded text of each row's ids; none for null or empty ids gives an empty text."""
     shared = df.sparkSession.sparkContext.broadcast(definition_of(path))
-    return with_made(df, ids, text, T.StringType(), lambda: loaded(shared.value).decode)
+    return with_made(df, ids, text, T.StringType(), lambda: decoder(shared.value).decode)

@@ -19,8 +19,7 @@ def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, WORD_BPE).select("doc_id", "ids")
-    return bpe.decode(ids, WORD_BPE).select(
+    return bpe.decode(bpe.encode(docs, WORD_BPE, keep=False), WORD_BPE).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

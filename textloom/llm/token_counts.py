@@ -107,12 +107,12 @@ def words_of(text: str | None) -> list[str]:
 
 
 @lru_cache(maxsize=2)
-def loaded(definition: str) -> tuple[PieceCounter, dict[str, int]]:
-    """The counter of a tokenizer file's pieces without their word-end mark, and its cache."""
+def loaded(definition: str) -> PieceCounter:
+    """The counter of a tokenizer file's pieces without their word-end mark."""
     model = json.loads(definition)["model"]
     end = model.get("end_of_word_suffix") or ""
     mark = model.get("continuing_subword_prefix") or ""
-    return PieceCounter({p.removesuffix(end) if end else p for p in model["vocab"]}, mark), {}
+    return PieceCounter({p.removesuffix(end) if end else p for p in model["vocab"]}, mark)
 
 
 @lru_cache(maxsize=1)
@@ -122,7 +122,7 @@ def _stand_ins() -> dict[int, str]:
 
 def counter(definition: str):
     """(words, pieces) of a text; the chunks between white space are remembered."""
-    automaton, known = loaded(definition)
+    automaton, known = loaded(definition), {}
     to = _stand_ins()
 
     def pieces(chunk: str) -> tuple[int, int]:
