@@ -40,7 +40,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER).drop("text")
+    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, keep=False)
     return bpe.decode(ids, TOKENIZER).select(
         "doc_id",
         "lang",
