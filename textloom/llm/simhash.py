@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.llm import shingle_join
 from textloom.llm.common import durable, fresh, with_made
 from textloom.llm.components import components
 
@@ -297,15 +298,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one document of each group, that of the least key; all columns as they were.
 
-    Groups are components of wide fingerprints as near as those of shingle sets of this
-    similarity are. Texts without words are a group.
+    Groups are components of texts whose sets of word shingles have this Jaccard
+    similarity or more, compared exactly. Texts without words are a group.
 
-    Of several texts with that key, the one with the least fingerprint and then digest stays.
+    Of several texts with that key, the one with the least digest stays.
     """
     mark_, id_, twin_ = (fresh(docs.columns, c) for c in ("mark", "kept_id", "twin"))
     digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
     named = docs.select(F.struct(F.col(key).alias("id"), digest.alias("mark")).alias("id"), F.col(text).alias("text"))
-    found = near_duplicates(named, "id", "text", words, radius_of(similarity), WIDE)
+    found = shingle_join.near_sets(named, words, similarity)
     stay = durable(found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id.id").alias(id_), F.col("id.mark").alias(twin_)))
     marked = docs.withColumn(mark_, digest)
     out = marked.join(stay, marked[key].eqNullSafe(stay[id_]) & (marked[mark_] == stay[twin_]), "left_semi")
