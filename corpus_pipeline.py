@@ -40,11 +40,16 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(docs.select("doc_id", "lang", "source", "text"), TOKENIZER, keep=False)
+    """Token ids, with each document's place in the mix: reading files doesn't keep their order, so it is told again here."""
+    placed = mixing.mix(docs.select("doc_id", "lang", "source", "text"), into="place_in_mix")
+    ids = bpe.encode(placed, TOKENIZER, keep=False)
     return bpe.decode(ids, TOKENIZER).select(
         "doc_id",
         "lang",
         "source",
+        "place_in_mix.block",
+        "place_in_mix.slot",
+        "place_in_mix.position",
         "ids",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
