@@ -28,7 +28,8 @@ TEMPLATES = (
 )
 #: Share of a template's distinct words that a block must have.
 CONTAINMENT = 0.8
-#: A block is a line; lines of more words are cut into blocks of so many, which overlap by half.
+#: Blocks are lines, and windows over the whole text's words, as notices are wrapped; of so many words, overlapping by half
+#: (more where a template has more than half of them).
 BLOCK_WORDS = 64
 MOST_TEMPLATES = 1000
 
@@ -52,17 +53,18 @@ def frequencies(docs: DataFrame, text: str, vocabulary: Sequence[str]) -> dict[s
     return dict.fromkeys(vocabulary, 0) | {r["word"]: r["n"] for r in found.groupBy("word").agg(F.count("*").alias("n")).collect()}
 
 
-def _blocks(low: Column, prefix_words: Sequence[str], ranked: Sequence[str]) -> Column:
-    """Of lines with a word of some template's prefix: distinct words' number n, and v, the sorted ranks of those in templates."""
+def _blocks(low: Column, prefix_words: Sequence[str], ranked: Sequence[str], half: int) -> Column:
+    """Of blocks with a word of some template's prefix: distinct words' number n, and v, the sorted ranks of those in templates."""
     likely = rf"(?<!{WORD})(?:{'|'.join(map(re.escape, prefix_words))})(?!{WORD})"
     lines = F.filter(F.split(low, "\n", -1), lambda line: line.rlike(likely))
-    half = BLOCK_WORDS // 2
+    whole = F.when(low.contains("\n"), F.array(words(low))).otherwise(F.array().cast("array<array<string>>"))
     cut = F.flatten(
         F.transform(
-            F.transform(lines, words),
-            lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(w) / half) - 1, F.lit(1)) - 1), lambda i: F.slice(w, (i * half + 1).cast("int"), F.lit(BLOCK_WORDS))),
+            F.concat(F.transform(lines, words), whole),
+            lambda w: F.transform(F.sequence(F.lit(0), F.greatest(F.ceil(F.size(w) / half) - 1, F.lit(1)) - 1), lambda i: F.slice(w, (i * half + 1).cast("int"), F.lit(2 * half))),
         )
     )
+    cut = F.filter(cut, lambda w: F.arrays_overlap(w, F.array(*map(F.lit, prefix_words))))
     known = F.array(*map(F.lit, ranked))
     block = lambda w: F.struct(F.size(F.array_distinct(w)).alias("n"), F.array_sort(F.transform(F.array_intersect(w, known), lambda x: F.array_position(known, x).cast("int"))).alias("v"))
     return F.when(low.rlike(likely), F.transform(cut, block))
@@ -84,6 +86,7 @@ def scan(docs: DataFrame, text: str = "text", into: str = "licenses", phrases: S
     sets = [(label, sorted(set(words_of(t)))) for label, t in templates]
     if len(sets) > MOST_TEMPLATES or not all(s for _, s in sets):
         raise ValueError(f"templates must have words, and be {MOST_TEMPLATES} at most")
+    half = max(BLOCK_WORDS // 2, *(len(words_of(t)) for _, t in templates), 0)
     vocabulary = sorted({w for _, s in sets for w in s})
     often = frequencies(docs, text, vocabulary)
     ranked = sorted(vocabulary, key=lambda w: (often[w], w))
@@ -107,7 +110,7 @@ def scan(docs: DataFrame, text: str = "text", into: str = "licenses", phrases: S
         pattern = rf"(?<!{WORD}){re.escape(first)}" + (f"(?={''.join(f'{GAP}++{re.escape(w)}' for w in rest)}(?!{WORD}))" if rest else f"(?!{WORD})")
         found.append(F.struct(F.lit(label).alias("label"), F.when(low.contains((rest or [first])[-1]), F.split(low, pattern, -1)).otherwise(F.array(low)).alias("parts")))
     rows = rows.withColumn(base_, F.filter(F.array(*found), lambda f: F.size(f["parts"]) > 1))
-    rows = rows.withColumn(blocks_, _blocks(low, sorted(prefix_words), ranked))
+    rows = rows.withColumn(blocks_, _blocks(low, sorted(prefix_words), ranked, half))
     total, base = n_words(low), F.col(base_)
 
     def best(t: Column) -> Column:
