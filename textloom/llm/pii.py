@@ -94,7 +94,7 @@ def found(text: Column, kind: str, pattern: str, needs: str | None) -> Column:
             F.substring(z["n"], 1, 1).alias("after"),
         ),
     )
-    there = text.contains(needs) if needs else text.rlike("[0-9]")
+    there = text.rlike("[=:]") if kind == "secret" and not needs else text.contains(needs) if needs else text.rlike("[0-9]")
     return F.when(there & text.rlike(pattern), all_).otherwise(F.array().cast(EMPTY))
 
 
