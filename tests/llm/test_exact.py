@@ -1,9 +1,10 @@
 import hashlib
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
-from textloom.llm import exact_dedup, queries
+from textloom.llm import common, exact_dedup, queries
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -32,7 +33,20 @@ def test_colliding_identifiers_are_told_apart(docs):
     assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["text_sha256"]) for r in rows) == expected(docs.collect())
 
 
-def test_keep_one(docs):
+def test_large_groups_are_looked_up_apart(docs, monkeypatch):
+    for groups, recipes, least in ((0, 10**6, 2), (2, 0, 4), (10**5, 10**6, 2)):
+        monkeypatch.setattr(exact_dedup, "LARGE_GROUPS", max(1, groups))
+        monkeypatch.setattr(exact_dedup, "LARGE_RECIPES", recipes)
+        monkeypatch.setattr(exact_dedup, "LEAST_LARGE", least)
+        rows = exact_dedup.exact_groups(docs).collect()
+        assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"], r["text_sha256"]) for r in rows) == expected(docs.collect())
+        assert sum(r["kept"] for r in rows) == len({r["text_sha256"] for r in rows})
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_keep_one(docs, none, monkeypatch, most):
+    monkeypatch.setattr(common.without, "__defaults__", (most,))
+    assert exact_dedup.keep_one(none).count() == 0
     out = exact_dedup.keep_one(docs)
     assert out.columns == docs.columns
     rows = out.collect()

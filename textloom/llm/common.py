@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,19 +28,46 @@ def fresh(taken: Iterable[str], name: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of this machine is set only where the session names none, as in local tests."""
+    """The folder in spark.checkpoint.dir; one of this machine is set only where a local session names none, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(named or _own_folder())
     return sc.getCheckpointDir()
 
 
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="checkpoints")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder, which outlives executors."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+#: Keys of rows to be left out that are broadcast: of 24 to 40 bytes each.
+BROADCAST_KEYS = 200_000
+
+
+def without(rows: DataFrame, gone: DataFrame, key: Sequence[Column], broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
+    """``rows`` without those whose key is in ``gone``, which has a column for each part of the key; nulls are equal.
+
+    Rows stay where they are as long as ``gone`` is small; else both sides are dealt by the key.
+    """
+    names = [fresh([*rows.columns, *gone.columns], f"part{i}") for i in range(len(key))]
+    out = gone.toDF(*[n + "_gone" for n in names])
+    if gone.count() <= broadcast_keys:
+        out = F.broadcast(out)
+    same = reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(n + "_gone")) for n in names])
+    keyed = rows.withColumns(dict(zip(names, key, strict=True)))
+    return keyed.join(out, same, "left_anti").drop(*names)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and no other character changed; null stays null."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
