@@ -1,7 +1,7 @@
 import pytest
 
 import corpus_pipeline
-from tests.llm.test_simhash import wide_components
+from tests.llm.test_shingle_join import jaccard_components
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +31,7 @@ def test_stages(spark, corpus):
         low = "".join(c.lower() if c.isascii() else c for c in r["text"])
         unique[low] = max(unique.get(low, r), r, key=lambda x: x["doc_id"])
     left = sorted(unique.values(), key=lambda r: r["doc_id"])
-    groups = wide_components([r["doc_id"] for r in left], [r["text"] for r in left])
+    groups = jaccard_components([r["doc_id"] for r in left], [r["text"] for r in left])
     assert sizes == [len(given), len(left), len(set(groups)), len(set(groups)), len(set(groups))]
     assert {r["doc_id"] for r in docs.collect()} == {r["doc_id"] for r, g in zip(left, groups, strict=True) if r["doc_id"] == g}
 

@@ -2,6 +2,7 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 
 from textloom.llm import shingle_join, simhash
 
@@ -12,6 +13,7 @@ def shingles(text, k=5):
 
 
 def jaccard_components(ids, texts, least=Fraction(4, 5)):
+    """The least id of each text's component; ids may be null, which come first as in Spark."""
     sets, out, left = [shingles(t) for t in texts], {}, set(range(len(ids)))
     while left:
         todo, group = [left.pop()], []
@@ -21,7 +23,7 @@ def jaccard_components(ids, texts, least=Fraction(4, 5)):
             near = {j for j in left if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j])}
             left -= near
             todo += near
-        out |= dict.fromkeys(group, min(ids[i] for i in group))
+        out |= dict.fromkeys(group, min((ids[i] for i in group), key=lambda x: (x is not None, x)))
     return [out[i] for i in range(len(ids))]
 
 
@@ -96,3 +98,29 @@ def test_linked_pairs_connect_as_by_brute_force():
             if links is pairs:
                 mine = found
         assert len(set(zip(mine, found, strict=True))) == len(set(mine)) == len(set(found))
+
+
+def test_keys_of_several_sets(monkeypatch):
+    r = random.Random(7)
+    for _ in range(200):
+        rows = sorted((r.randint(0, 6), r.randint(0, 3)) for _ in range(r.randint(0, 30)))
+        want = sorted({x for x in rows if len({n for k, n in rows if k == x[0]}) > 1})
+        cuts = sorted(r.randint(0, len(rows)) for _ in range(r.randint(0, 6)))
+        batches = [pa.record_batch([pa.array([k for k, _ in part], pa.int64()), pa.array([n for _, n in part], pa.int64())], ["key", "number"]) for a, b in zip([0, *cuts], [*cuts, len(rows)], strict=True) for part in [rows[a:b]]]
+        assert sorted(tuple(x.values()) for b in shingle_join._shared(iter(batches)) for x in b.to_pylist()) == want
+
+
+def test_recall_and_false_drops_of_the_stage(spark):
+    """Of pairs of random texts: all of similarity 0.8 or more are linked, none below is."""
+    r, pool, rows, similar = random.Random(11), [f"w{i}" for i in range(5000)], [], {}
+    for i in range(400):
+        words = [r.choice(pool) for _ in range(r.randint(30, 400))]
+        near = list(words)
+        for at in r.sample(range(len(words)), max(1, round(len(words) * r.uniform(0.005, 0.06)))):
+            near[at] = "other"
+        a, b = shingles(" ".join(words)), shingles(" ".join(near))
+        similar[2 * i + 1] = len(a & b) / len(a | b)
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
+    kept = {x["doc_id"] for x in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(s >= 0.8 for s in similar.values()) > 100 < sum(s < 0.75 for s in similar.values())
+    assert {i for i in similar if i not in kept} == {i for i, s in similar.items() if s >= 0.8}

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from textloom.llm import components, queries, simhash
+from tests.llm.test_shingle_join import jaccard_components
+from textloom.llm import common, components, queries, simhash, tiles
 
 
 def brute_fingerprint(text, k=3):
@@ -33,20 +34,23 @@ def brute_components(ids, prints, radius=3):
 
 def test_fingerprints(odd_texts, rng):
     for t in [*odd_texts, "one", "one two", "a b c a b c", "Ä B\x0bC d"]:
-        assert int(simhash.fingerprint(t)[0]) == brute_fingerprint(t), (t or "")[:40]
+        assert simhash.fingerprint(t) == brute_fingerprint(t), (t or "")[:40]
 
 
 def test_long_texts_go_slice_by_slice(monkeypatch):
     text = " ".join(str(i % 97) for i in range(900))
-    whole = simhash.fingerprint(text, 5, 256).tolist()
+    whole = simhash.fingerprint(text, 5)
     monkeypatch.setattr(simhash, "SLICE", 50)
-    assert simhash.fingerprint(text, 5, 256).tolist() == whole and len(set(whole)) == 4
+    assert simhash.fingerprint(text, 5) == whole
+    h = np.random.default_rng(3).integers(0, 2**64 - 1, 900, dtype=np.uint64)
+    assert tiles.majority(h).tolist() == tiles.majority(h, most=50).tolist() and len(set(tiles.majority(h).tolist())) == 4
+    assert int(tiles.majority(h, 64)[0]) == sum(1 << b for b in range(64) if 2 * sum(int(x) >> b & 1 for x in h) > len(h))
 
 
 @pytest.mark.parametrize(("tile", "part"), [(512, 4096), (4, 4096), (4, 6)])
 def test_links_are_whole(spark, monkeypatch, tile, part):
-    monkeypatch.setattr(simhash, "TILE", tile)
-    monkeypatch.setattr(simhash, "PART", part)
+    monkeypatch.setattr(tiles, "TILE", tile)
+    monkeypatch.setattr(tiles, "PART", part)
     r = random.Random(tile + part)
     values = set()
     for _ in range(40):
@@ -84,14 +88,12 @@ def test_query(spark, docs, tmp_path):
     assert sorted((str(r["doc_id"]), r["fingerprint"], str(r["component_id"])) for r in rows) == want
 
 
-def wide_components(ids, texts):
-    return brute_components(ids, [int.from_bytes(simhash.fingerprint(t, 5, 256).tobytes(), "little") for t in texts], simhash.radius_of(0.8))
-
-
-def test_keep_one(docs, none):
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_keep_one(docs, none, monkeypatch, most):
+    monkeypatch.setattr(common.without, "__defaults__", (most,))
     out = simhash.keep_one(docs)
     given = docs.collect()
-    groups = wide_components([r["doc_id"] for r in given], [r["text"] for r in given])
+    groups = jaccard_components([r["doc_id"] for r in given], [r["text"] for r in given])
     assert out.columns == docs.columns and out.count() == len(set(groups))
     assert simhash.keep_one(none).count() == 0
 
@@ -115,8 +117,8 @@ def test_near_copies_are_found_and_others_left(spark):
 
 @pytest.mark.parametrize(("tile", "part"), [(512, 4096), (8, 4096), (8, 40)])
 def test_a_dense_group_is_one_component(spark, monkeypatch, tile, part):
-    monkeypatch.setattr(simhash, "TILE", tile)
-    monkeypatch.setattr(simhash, "PART", part)
+    monkeypatch.setattr(tiles, "TILE", tile)
+    monkeypatch.setattr(tiles, "PART", part)
     g = np.random.default_rng(tile)
     seed = g.integers(0, 2, 256)
     rows = []
@@ -124,8 +126,8 @@ def test_a_dense_group_is_one_component(spark, monkeypatch, tile, part):
         bits = seed.copy()
         bits[g.permutation(256)[:15]] ^= 1
         rows.append((bytearray(np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()),))
-    frame = spark.createDataFrame(rows, "fingerprint binary").distinct()
-    found = components.components(simhash.near_links(frame, 45, 256)).collect()
+    frame = spark.createDataFrame(rows, "fingerprint binary").distinct().selectExpr("1L AS key", "fingerprint")
+    found = components.components(tiles.keyed_links(frame, 45, 256)).collect()
     assert len({bytes(x["root"]) for x in found}) == 1 and len(found) == frame.count()
 
 

@@ -1,4 +1,10 @@
-"""Near-duplicates by the exact Jaccard similarity of shingle sets: a lossless similarity join, by components."""
+"""Near-duplicates by the Jaccard similarity of shingle sets: keys, fingerprints, then the sets themselves.
+
+Any two sets as similar as asked share a key. Within each key wide SimHash fingerprints
+are compared tile by tile, with a radius of so many deviations that hardly any similar
+pair lies outside it; what is linked so are candidates. A link counts only if the sets
+of shingles, compared exactly, are as similar.
+"""
 
 from __future__ import annotations
 
@@ -13,14 +19,15 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import ROWS, durable
 from textloom.llm.components import components
+from textloom.llm.tiles import WIDE, keyed_links, majority, radius_of
 
 SLICE = 65_536
 #: Levels (sizes from 2^level) below this have each shingle as a part of its own; others so many parts for each size.
 FINE, LOAD = 5, 0.85
 #: Sets of a candidate component that one task gathers; components with more are dealt out as pairs of parts.
 PART = 1024
-#: Candidates that are sent to all tasks to fetch their texts; more are joined by a shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Candidates that are sent to all tasks to fetch their texts, of some 100 bytes each; more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
@@ -91,39 +98,50 @@ def set_keys(h: np.ndarray, least: Fraction, fine: frozenset[int] = frozenset())
     return np.concatenate(out).view(np.int64), failed
 
 
-def _sets(words: int, least: Fraction, fine: frozenset[int]):
+def _sets(words: int, least: Fraction, fine: frozenset[int], bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(start, ROWS)
-                number, keys, failed = [], [], []
+                number, prints, keys, failed = [], [], [], []
                 for text in rows.column(1).to_pylist():
                     h = shingle_set(text, words)
                     number.append(xxhash.xxh64_intdigest(h.tobytes(), 7) - (1 << 63))
+                    prints.append(majority(h, bits).tobytes())
                     k, f = set_keys(h, least, fine)
                     keys.append(k)
                     failed.append(f)
                 offsets = pa.array(np.cumsum([0, *map(len, keys)]), pa.int32())
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(keys), pa.int64()))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(number, pa.int64()), lists, pa.array(failed, pa.int64())], ["id", "number", "keys", "failed"])
+                columns = [rows.column(0), pa.array(number, pa.int64()), pa.array(prints, pa.binary()), lists, pa.array(failed, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "number", "fingerprint", "keys", "failed"])
 
     return run
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The least set of each key with every other; rows come sorted by key and set."""
-    last = least = None
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows (key, number) of keys that several sets have, each once; rows come sorted by key and number."""
+    last = None  # the last row, and whether it is out
     for batch in batches:
         if not batch.num_rows:
             continue
         key, number = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-        new = np.concatenate(([last is None or key[0] != last], key[1:] != key[:-1]))
-        firsts = np.flatnonzero(new)
-        values = number[firsts] if new[0] else np.concatenate(([least], number[firsts]))
-        u = values[np.cumsum(new) - int(new[0])]
-        last, least = key[-1], u[-1]
-        other = u != number
-        yield pa.RecordBatch.from_arrays([pa.array(u[other]), pa.array(number[other])], ["u", "v"])
+        out_before = True
+        if last is not None:
+            key, number = np.concatenate(([last[0]], key)), np.concatenate(([last[1]], number))
+            out_before = last[2]
+        other = np.concatenate(([True], (key[1:] != key[:-1]) | (number[1:] != number[:-1])))
+        first_out = out_before and last is not None
+        key, number = key[other], number[other]
+        with_next = np.append(key[1:] == key[:-1], False)
+        with_last = np.concatenate(([first_out], key[1:] == key[:-1]))
+        several = with_next | with_last
+        last = (key[-1], number[-1], bool(several[-1]))
+        if first_out:
+            several = several.copy()
+            several[0] = False  # it went out before
+        if several.any():
+            yield pa.RecordBatch.from_arrays([pa.array(key[several]), pa.array(number[several])], ["key", "number"])
 
 
 def linked(sets: list[np.ndarray], least: Fraction) -> list[tuple[int, int]]:
@@ -177,40 +195,73 @@ def _verified(words: int, least: Fraction):
     return run
 
 
+def _fetched(docs: DataFrame, dealt: DataFrame, words: int, least: Fraction) -> DataFrame:
+    """The links (u, v) within groups of ``dealt`` (chosen_id, number, groups), of texts fetched by id."""
+    few = dealt.count() <= BROADCAST_ROWS
+    texts = docs.select("id", "text").join(F.broadcast(dealt) if few else dealt, F.col("id").eqNullSafe(F.col("chosen_id")))
+    gathered = texts.select(F.explode("groups").alias("group"), "number", "text").repartition("group").sortWithinPartitions("group")
+    return gathered.mapInArrow(_verified(words, least), "u bigint, v bigint")
+
+
+def verified_links(docs: DataFrame, chosen: DataFrame, words: int, least: Fraction) -> DataFrame:
+    """Links (u, v) that connect all sets as similar as ``least`` within each candidate component of ``chosen`` (chosen_id, number, root).
+
+    A component of over PART sets is dealt into parts, each with the component's least
+    set, which connects most of a group of near copies. What isn't in the largest group
+    found so is then compared with all of the component, part by part; so the cost grows
+    with the component, times the parts of what stands apart.
+    """
+    whole, part = F.array("root"), lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "number"), n).cast("int")
+    large = chosen.groupBy("root").agg(F.count("*").alias("n"), F.min("number").alias("pivot")).where(F.col("n") > PART)
+    large = durable(large.select(F.col("root").alias("large"), "pivot", F.ceil(F.col("n") / PART).cast("int").alias("parts")))
+    if not large.limit(1).count():
+        return _fetched(docs, chosen.withColumn("groups", whole), words, least)
+    group = lambda *c: F.xxhash64("root", *c)
+    each = lambda n, make: F.transform(F.sequence(F.lit(0), n - 1), make)
+    split = chosen.join(large, F.col("root") == F.col("large"), "left")
+    own = F.when(F.col("number") == F.col("pivot"), each(F.col("parts"), lambda o: group(o))).otherwise(F.array(group(part(F.col("parts"), "own"))))
+    first = durable(_fetched(docs, split.withColumn("groups", F.when(F.col("parts").isNull(), whole).otherwise(own)), words, least))
+
+    reached = components(first).withColumnRenamed("root", "sub")
+    inner = split.where("parts IS NOT NULL").join(reached, F.col("number") == F.col("node"), "left").withColumn("sub", F.coalesce("sub", "number"))
+    inner = durable(inner.select("chosen_id", "number", "root", "parts", "sub"))
+    sizes = inner.groupBy("root", "sub").agg(F.count("*").alias("n"))
+    main = sizes.groupBy(F.col("root").alias("of")).agg(F.max(F.struct("n", "sub")).alias("main"), F.sum("n").alias("n"))
+    main = durable(main.where(F.col("n") > F.col("main.n")).select("of", F.col("main.sub").alias("main"), F.ceil((F.col("n") - F.col("main.n")) / PART).cast("int").alias("apart")))
+    rest = inner.join(main, F.col("root") == F.col("of"))
+    met = each(F.col("apart"), lambda o: group(F.lit("met"), o, part(F.col("parts"), "own")))
+    meets = each(F.col("parts"), lambda o: group(F.lit("met"), part(F.col("apart"), "apart"), o))
+    groups = F.when(F.col("sub") == F.col("main"), met).otherwise(F.array_distinct(F.concat(met, meets)))
+    return first.union(_fetched(docs, durable(rest.select("chosen_id", "number", groups.alias("groups"))), words, least))
+
+
 def near_sets(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, component_id) of every row of ``docs`` (id, text): the least id reachable by links of this similarity or more.
 
-    Texts with one shingle set are linked, those without words too. Every pair as similar
-    shares a key, so it is in one component of the sets that share keys; there the sets
-    themselves are compared. Sets and shingles are told apart by hashes of 64 bits.
+    Texts with one shingle set are linked, those without words too. Sets and shingles are
+    told apart by hashes of 64 bits. Every pair as similar shares a key; that its
+    fingerprints lie farther apart than the radius has a probability under one in a
+    million, a thousandth for sets of five shingles or fewer.
     """
     least = Fraction(similarity).limit_denominator(10_000)
-    kind = f"id {docs.schema['id'].dataType.simpleString()}, number bigint, keys array<bigint>, failed bigint"
+    kind = f"id {docs.schema['id'].dataType.simpleString()}, number bigint, fingerprint binary, keys array<bigint>, failed bigint"
     fine: frozenset[int] = frozenset()
     while True:
-        found = durable(docs.select("id", "text").mapInArrow(_sets(words, least, fine), kind))
+        found = durable(docs.select("id", "text").mapInArrow(_sets(words, least, fine, WIDE), kind))
         failed = found.agg(F.bit_or("failed")).first()[0]
         if not failed:
             break
         fine |= {i for i in range(64) if failed >> i & 1}
+    named = durable(found.groupBy("number").agg(F.min("id").alias("least"), F.first("fingerprint").alias("fingerprint")))
     keyed = found.select(F.explode("keys").alias("key"), "number").repartition("key").sortWithinPartitions("key", "number")
-    likely = components(keyed.mapInArrow(_stars, "u bigint, v bigint"))
-    named = found.groupBy("number").agg(F.min("id").alias("least"))
-    chosen = durable(named.join(likely, named["number"] == likely["node"]).select(F.col("least").alias("chosen_id"), "number", "root"))
-
-    n = chosen.count()
-    large = durable(chosen.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > PART).withColumnRenamed("root", "large"))
-    group = F.array(F.col("root"))
-    if large.limit(1).count():
-        split = chosen.join(large, F.col("root") == F.col("large"), "left")
-        parts = F.ceil(F.col("n") / PART).cast("int")
-        part = F.pmod(F.xxhash64(F.lit("part"), "number"), parts).cast("int")
-        pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda o: F.xxhash64("root", F.least(o, part), F.greatest(o, part)))
-        chosen, group = split, F.when(F.col("n").isNull(), group).otherwise(pairs)
-    dealt = chosen.select("chosen_id", "number", group.alias("groups"))
-    texts = docs.select("id", "text").join(F.broadcast(dealt) if n <= BROADCAST_ROWS else dealt, F.col("id").eqNullSafe(F.col("chosen_id")))
-    gathered = texts.select(F.explode("groups").alias("group"), "number", "text").repartition("group").sortWithinPartitions("group")
-    roots = components(gathered.mapInArrow(_verified(words, least), "u bigint, v bigint"))
+    keyed = durable(keyed.mapInArrow(_shared, "key bigint, number bigint"))
+    printed = keyed.join(named.select("number", "fingerprint"), "number").select("key", "fingerprint")
+    likely = components(keyed_links(printed, radius_of(similarity), WIDE))
+    # sets of one fingerprint are candidates too
+    equal = named.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select(F.col("fingerprint").alias("node"), F.col("fingerprint").alias("root"))
+    likely = likely.union(equal.join(likely, "node", "left_anti"))
+    chosen = named.join(likely, F.col("fingerprint") == F.col("node")).select(F.col("least").alias("chosen_id"), "number", F.xxhash64("root").alias("root"))
+    roots = components(verified_links(docs, durable(chosen), words, least))
     grouped = named.join(roots, named["number"] == roots["node"], "left").select("number", "least", F.coalesce("root", "number").alias("root"))
     best = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     return found.select("id", "number").join(grouped.join(best, "root").select("number", "component_id"), "number").select("id", "component_id")

@@ -2,214 +2,54 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.llm import shingle_join
-from textloom.llm.common import durable, fresh, with_made
+from textloom.llm.common import durable, fresh, with_made, without
 from textloom.llm.components import components
+from textloom.llm.tiles import keyed_links, ones_of
 
-#: Fingerprints of a tile: what one comparison holds in memory is its square in bytes, times eight.
-TILE = 512
-#: Fingerprints that one task gathers of a key; keys with more are dealt out as pairs of parts.
-PART = 4096
 SLICE = 65_536
 
 
-#: Wide fingerprints: their bits, the bits of a key, the keys that each fingerprint has.
-WIDE, KEY_BITS, KEYS = 256, 12, 32
-#: Standard deviations of a wide fingerprint's distance that are allowed above the wanted one.
-SLACK = 1.0
-
-
-def spread(h: np.ndarray, lanes: int) -> np.ndarray:
-    """Each hash as so many words: itself if one, else mixed anew for each."""
-    if lanes == 1:
-        return h[:, None]
-    out = h[:, None] ^ (np.arange(1, lanes + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))[None, :]
-    out = (out ^ (out >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    out = (out ^ (out >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return out ^ (out >> np.uint64(31))
-
-
-def fingerprint(text: str | None, words: int = 3, bits: int = 64) -> np.ndarray:
-    """Words of 64 bits, of which a bit is 1 if set in over half of the hashes of the word shingles; no words, no bits.
+def fingerprint(text: str | None, words: int = 3) -> int:
+    """64 bits, of which one is 1 if set in over half of the hashes of the word shingles; no words, no bits.
 
     A-Z are lower-cased, words are split at ASCII white space, repeated shingles count
     again; a text of fewer words is one shingle.
     """
     parts = (text or "").encode().lower().split()
-    lanes = bits // 64
     if not parts:
-        return np.zeros(lanes, np.uint64)
+        return 0
     joined = b" ".join(parts)
     ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(words, len(parts))
     count = len(parts) - k + 1
-    ones = np.zeros(bits, np.int64)
+    ones = np.zeros(64, np.int64)
     hashed = xxhash.xxh64_intdigest
     for at in range(0, count, SLICE):
         to = min(at + SLICE, count)
         h = np.array([hashed(joined[s:e], 42) for s, e in zip(starts[at:to].tolist(), ends[at + k - 1 : to + k - 1].tolist(), strict=True)], np.uint64)
-        ones += np.unpackbits(np.ascontiguousarray(spread(h, lanes)).view(np.uint8).reshape(len(h), -1), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > count, bitorder="little").view("<u8")
+        ones += ones_of(h, 64)
+    return int(np.packbits(ones * 2 > count, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, bits: int = 64) -> DataFrame:
-    """(id, fingerprint) of every row: a signed long for 64 bits, else binary; a null text has no words."""
+def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
+    """(id, fingerprint) of every row, the fingerprint as a signed long; a null text has no words."""
     slim = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
-    if bits == 64:
-        one = lambda t: int(fingerprint(t, words).view(np.int64)[0])
-        return with_made(slim, "text", "fingerprint", T.LongType(), lambda: one, keep=False)
-    return with_made(slim, "text", "fingerprint", T.BinaryType(), lambda: lambda t: fingerprint(t, words, bits).tobytes(), keep=False)
-
-
-def radius_of(similarity: float, bits: int = WIDE, slack: float = SLACK) -> int:
-    """The bits in which fingerprints of shingle sets of this Jaccard similarity differ, and ``slack`` deviations more.
-
-    Sets of one size with similarity s have the cosine 2s/(1+s), and each bit differs
-    with the share that the angle has of a half turn.
-    """
-    p = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    return round(bits * p + slack * np.sqrt(bits * p * (1 - p)))
-
-
-def _spanning(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of a symmetric table of links."""
-    left = linked.any(axis=1)
-    out = []
-    while left.any():
-        front = np.flatnonzero(left)[:1]
-        left[front] = False
-        while front.size:
-            reached = linked[front] & left
-            new = np.flatnonzero(reached.any(axis=0))
-            out += zip(front[reached[:, new].argmax(axis=0)].tolist(), new.tolist(), strict=True)
-            left[new] = False
-            front = new
-    return out
-
-
-def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Differing bits of each of x and each of y; both have a row of words for each fingerprint."""
-    out = np.zeros((len(x), len(y)), np.uint16)
-    for lane in range(x.shape[1]):
-        out += np.bitwise_count(x[:, lane, None] ^ y[None, :, lane])
-    return out
-
-
-def links(values: np.ndarray, radius: int) -> np.ndarray:
-    """Pairs of rows that connect all fingerprints at most ``radius`` bits apart: as few as connect them.
-
-    Fingerprints are sorted by their bit counts and compared tile by tile; tile pairs
-    whose bit counts differ beyond the radius are skipped. Of the links found, those
-    count that join two sets which aren't joined yet.
-    """
-    counts = np.bitwise_count(values).sum(axis=1, dtype=np.int32)
-    order = np.argsort(counts, kind="stable")
-    values, counts = values[order], counts[order]
-    root = np.arange(len(values))
-    out: list[tuple[int, int]] = []
-
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    for i in range(0, len(values), TILE):
-        x = values[i : i + TILE]
-        for j in range(i, len(values), TILE):
-            if counts[j] - counts[min(i + TILE, len(values)) - 1] > radius:
-                break
-            roots = np.concatenate((root[i : i + TILE], root[j : j + TILE]))
-            if i != j and (roots == roots[0]).all():
-                continue  # all joined already
-            y = values[j : j + TILE]
-            near = distances(x, y) <= radius
-            near &= root[i : i + TILE, None] != root[None, j : j + TILE]
-            p, q = np.nonzero(np.triu(near, 1) if i == j else near)
-            if len(p) > 2 * (len(x) + len(y)):
-                n = len(x)
-                square = near | near.T if i == j else np.zeros((n + len(y),) * 2, bool)
-                if i != j:
-                    square[:n, n:], square[n:, :n] = near, near.T
-                kept = np.array(_spanning(square))
-                at = np.arange(i, i + n) if i == j else np.concatenate((np.arange(i, i + n), np.arange(j, j + len(y))))
-                pairs = at[kept]
-            else:
-                pairs = np.stack((p + i, q + j), axis=1)
-            for a, b in pairs.tolist():
-                u, v = top(a), top(b)
-                if u != v:
-                    root[max(u, v)] = min(u, v)
-                    out.append((a, b))
-            if len(pairs):
-                while (root[root] != root).any():
-                    root = root[root]
-    return order[np.array(out, np.int64).reshape(-1, 2)]
-
 
-def _words(column: pa.Array) -> np.ndarray:
-    """A column of longs or of binaries of one length, as rows of words."""
-    if pa.types.is_integer(column.type):
-        return column.to_numpy(zero_copy_only=False).view(np.uint64)[:, None]
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+    def one(t: str | None) -> int:
+        value = fingerprint(t, words)
+        return value - (value >> 63 << 64)
 
-
-def _column(values: np.ndarray) -> pa.Array:
-    if values.shape[1] == 1:
-        return pa.array(values[:, 0].view(np.int64), pa.int64())
-    return pa.array([v.tobytes() for v in values], pa.binary())
-
-
-def _compare(radius: int):
-    """Compare the fingerprints of each run of equal groups; rows come sorted by group."""
-
-    def within(group: np.ndarray, value: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        starts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-        sizes = np.diff(np.append(starts, len(group)))
-        few = np.repeat(sizes <= 16, sizes)
-        for d in range(1, 16):  # small groups all at once: each row against the d-th after it
-            if len(group) <= d or not (sizes[sizes <= 16] > d).any():
-                break
-            at = np.flatnonzero(few[:-d] & (group[d:] == group[:-d]))
-            at = at[np.bitwise_count(value[at] ^ value[at + d]).sum(axis=1, dtype=np.int32) <= radius]
-            yield value[at], value[at + d]
-        for s, n in zip(starts[sizes > 16].tolist(), sizes[sizes > 16].tolist(), strict=True):
-            pairs = links(value[s : s + n], radius) + s
-            yield value[pairs[:, 0]], value[pairs[:, 1]]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group = value = None
-
-        def edges(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-            for p, q in found:
-                if len(p):
-                    yield pa.RecordBatch.from_arrays([_column(p), _column(q)], ["u", "v"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            g, v = batch.column(0).to_numpy(zero_copy_only=False), _words(batch.column(1))
-            group = g if group is None else np.concatenate((group, g))
-            value = v if value is None else np.concatenate((value, v))
-            last = int(np.searchsorted(group, group[-1]))
-            if last:
-                yield from edges(within(group[:last], value[:last]))
-                group, value = group[last:], value[last:]
-        if group is not None and len(group):
-            yield from edges(within(group, value))
-
-    return run
+    return with_made(slim, "text", "fingerprint", T.LongType(), lambda: one, keep=False)
 
 
 def masks(distinct: int, radius: int) -> list[int]:
@@ -227,57 +67,20 @@ def masks(distinct: int, radius: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(parts, blocks - radius)]
 
 
-def _exact_keys(values: DataFrame, radius: int) -> DataFrame:
-    """(key, fingerprint) of 64-bit fingerprints, so that any two within the radius share a key."""
+def keys_of(values: DataFrame, radius: int) -> DataFrame:
+    """(key, fingerprint) of the fingerprints, so that any two within the radius share a key."""
     value = F.col("fingerprint")
     signed = [m - (1 << 64) if m >> 63 else m for m in masks(values.count(), radius)]
     # a key is a hash: two masks' keys that collide are compared together, which links nothing wrong
     return values.select(F.explode(F.array(*[F.xxhash64(F.lit(i), value.bitwiseAND(F.lit(m))) for i, m in enumerate(signed)])).alias("key"), value)
 
 
-def _sampled_keys(values: DataFrame, bits: int) -> DataFrame:
-    """(key, fingerprint) of wide fingerprints: KEYS keys of KEY_BITS bits each.
-
-    Fingerprints that differ in a share p of their bits miss all keys with probability
-    (1 - (1-p)^KEY_BITS)^KEYS: 0.7 % at the distance of similarity 0.8, less if nearer.
-    """
-    chosen = [np.random.default_rng(k).permutation(bits)[:KEY_BITS] for k in range(KEYS)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 1024):
-                column = batch.column(0).slice(start, 1024)
-                on = np.unpackbits(_words(column).view(np.uint8), axis=1, bitorder="little")
-                for k, at in enumerate(chosen):
-                    keys = on[:, at].astype(np.int64) @ (1 << np.arange(KEY_BITS, dtype=np.int64)) + (k << KEY_BITS)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), column], ["key", "fingerprint"])
-
-    return values.select("fingerprint").mapInArrow(run, "key bigint, fingerprint binary")
+def near_links(values: DataFrame, radius: int = 3) -> DataFrame:
+    """Pairs (u, v) that connect the distinct fingerprints of ``values`` lying within the radius, through others of their key at times."""
+    return keyed_links(keys_of(values, radius), radius)
 
 
-def near_links(values: DataFrame, radius: int = 3, bits: int = 64) -> DataFrame:
-    """Pairs (u, v) that connect the distinct fingerprints of ``values`` lying within the radius.
-
-    With 64 bits two fingerprints within the radius are always connected, through others
-    of their key at times; wide ones share a key with high probability. A key with many
-    fingerprints is dealt out by hash into parts; each pair of parts is compared in a
-    group of its own.
-    """
-    value = F.col("fingerprint")
-    keyed = _exact_keys(values, radius) if bits == 64 else _sampled_keys(values, bits)
-    large = durable(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > PART))
-    if large.limit(1).count():
-        split = keyed.join(large, "key", "left")
-        parts = F.ceil(F.col("n") / PART).cast("int")
-        part = F.pmod(F.xxhash64(F.lit("part"), value), parts).cast("int")
-        pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda o: F.xxhash64("key", F.least(o, part), F.greatest(o, part)))
-        keyed = split.select(F.explode(F.when(F.col("n").isNull(), F.array("key")).otherwise(pairs)).alias("key"), value)
-    dealt = keyed.select("key", "fingerprint").repartition("key").sortWithinPartitions("key")
-    kind = "bigint" if bits == 64 else "binary"
-    return dealt.mapInArrow(_compare(radius), f"u {kind}, v {kind}")
-
-
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3, bits: int = 64) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
     """(key, fingerprint, component_id) for every row of ``docs``.
 
     component_id is the least key reachable by links of at most ``radius`` differing bits,
@@ -285,9 +88,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     have the fingerprint 0. Null keys are no one's least key, unless a component has no
     other. Repeated rows come out as often as they came in; no rows, no result rows.
     """
-    found = durable(fingerprints(docs, key, text, words, bits))
+    found = durable(fingerprints(docs, key, text, words))
     distinct = durable(found.groupBy("fingerprint").agg(F.min("id").alias("least")))
-    roots = components(near_links(distinct, radius, bits))
+    roots = components(near_links(distinct, radius))
     grouped = distinct.join(roots, distinct["fingerprint"] == roots["node"], "left").select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = grouped.join(least, "root").select("fingerprint", "component_id")
@@ -299,19 +102,18 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: in
     """``docs`` with one document of each group, that of the least key; all columns as they were.
 
     Groups are components of texts whose sets of word shingles have this Jaccard
-    similarity or more, compared exactly. Texts without words are a group.
-
-    Of several texts with that key, the one with the least digest stays.
+    similarity or more: wide fingerprints, compared tile by tile, give the candidates,
+    and a link counts if the sets themselves are as similar. Texts without words are a
+    group. Of several texts with the least key, the one with the least digest stays.
     """
-    mark_, id_, twin_ = (fresh(docs.columns, c) for c in ("mark", "kept_id", "twin"))
-    digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    id_, mark_ = fresh(docs.columns, "gone_id"), fresh(docs.columns, "mark")
+    digest = F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
     named = docs.select(F.struct(F.col(key).alias("id"), digest.alias("mark")).alias("id"), F.col(text).alias("text"))
-    found = shingle_join.near_sets(named, words, similarity)
-    stay = durable(found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id.id").alias(id_), F.col("id.mark").alias(twin_)))
-    marked = docs.withColumn(mark_, digest)
-    out = marked.join(stay, marked[key].eqNullSafe(stay[id_]) & (marked[mark_] == stay[twin_]), "left_semi")
-    if stay.groupBy(id_, twin_).count().where("count > 1").limit(1).count():
-        out = out.dropDuplicates([key, mark_])  # rows with one key and text: any of them
+    found = durable(shingle_join.near_sets(named, words, similarity).withColumn("stays", F.col("id").eqNullSafe(F.col("component_id"))))
+    gone = durable(found.where("NOT stays").select(F.col("id.id").alias(id_), F.col("id.mark").alias(mark_)).distinct())
+    out = without(docs, gone, [F.col(key), digest])
+    if found.where("stays").groupBy("id").count().where("count > 1").limit(1).count():
+        out = out.withColumn(mark_, digest).dropDuplicates([key, mark_])  # rows with one key and text: any of them
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
