@@ -1,36 +1,8 @@
 import random
 
-import xxhash
-
 import corpus_pipeline
-
-
-def brute_places(rows, block=64, scale=1000):
-    """(block, slot, position) of every (doc_id, source), slot by slot: of the released blocks that with the earliest deadline."""
-    signed = lambda i: (xxhash.xxh64_intdigest(str(i).encode(), 42) + 2**63) % 2**64 - 2**63
-    own = {}
-    for i, s in rows:
-        own.setdefault(s, []).append(i)
-    names = sorted(own)
-    roots = [len(own[s]) ** 0.5 for s in names]
-    weight = {s: round(scale * w / sum(roots)) for s, w in zip(names, roots, strict=True)}
-    cut = {s: [sorted(v, key=lambda i: (signed(i), i))[k : k + block] for k in range(0, len(v), block)] for s, v in own.items()}
-    places, slot, given = {}, 0, dict.fromkeys(names, 0)
-    while any(given[s] < len(cut[s]) for s in names):
-        active, base = [s for s in names if given[s] < len(cut[s])], slot
-        total, first = sum(weight[s] for s in active), dict(given)
-        while all(given[s] < len(cut[s]) for s in active):
-            ready = []
-            for k, s in enumerate(active):
-                i = given[s] - first[s]
-                if i * total // weight[s] <= slot - base:
-                    ready.append((-(-(i + 1) * total // weight[s]), k, s))
-            s = min(ready)[2]
-            for n, doc in enumerate(cut[s][given[s]]):
-                places[doc] = (given[s], slot, slot * block + n)
-            given[s] += 1
-            slot += 1
-    return places
+from tests.llm.test_mixing import places
+from textloom.llm import mixing
 
 
 def test_run_tells_the_place_in_the_mix(spark, tmp_path):
@@ -38,6 +10,6 @@ def test_run_tells_the_place_in_the_mix(spark, tmp_path):
     docs = [(i, " ".join(r.choice(words) for _ in range(40)), "en", ("a", "b", "c")[0 if i % 2 else 1 + i % 3 // 2], 0) for i in range(900)]
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(5).write.parquet(str(tmp_path / "documents.parquet"))
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    want = brute_places([(x["doc_id"], x["source"]) for x in rows])
+    want = places([(x["doc_id"], x["source"]) for x in rows], mixing.BLOCK)
     assert len(rows) > 800 and len({x["source"] for x in rows}) == 3
     assert {x["doc_id"]: (x["block"], x["slot"], x["position"]) for x in rows} == want
