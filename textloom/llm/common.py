@@ -68,6 +68,11 @@ def without(rows: DataFrame, gone: DataFrame, key: Sequence[Column], broadcast_k
     return keyed.join(out, same, "left_anti").drop(*names)
 
 
+def dealt(rows: DataFrame, key: str, count: int, each: int) -> DataFrame:
+    """``rows`` dealt by ``key`` to as many partitions as make ``each`` rows a partition, for tasks of bounded memory."""
+    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-count // each)), key)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased and no other character changed; null stays null."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import ROWS, durable
+from textloom.llm.common import ROWS, dealt, durable
 from textloom.llm.components import components
 from textloom.llm.tiles import WIDE, keyed_links, majority, radius_of
 
@@ -28,6 +28,8 @@ FINE, LOAD = 5, 0.85
 PART = 1024
 #: Candidates that are sent to all tasks to fetch their texts, of some 100 bytes each; more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
+#: Keys and texts that a task sorts, about.
+KEYS_A_TASK, TEXTS_A_TASK = 500_000, 4096
 
 
 def shingle_set(text: str | None, words: int = 5) -> np.ndarray:
@@ -195,11 +197,11 @@ def _verified(words: int, least: Fraction):
     return run
 
 
-def _fetched(docs: DataFrame, dealt: DataFrame, words: int, least: Fraction) -> DataFrame:
-    """The links (u, v) within groups of ``dealt`` (chosen_id, number, groups), of texts fetched by id."""
-    few = dealt.count() <= BROADCAST_ROWS
-    texts = docs.select("id", "text").join(F.broadcast(dealt) if few else dealt, F.col("id").eqNullSafe(F.col("chosen_id")))
-    gathered = texts.select(F.explode("groups").alias("group"), "number", "text").repartition("group").sortWithinPartitions("group")
+def _fetched(docs: DataFrame, wanted: DataFrame, words: int, least: Fraction) -> DataFrame:
+    """The links (u, v) within groups of ``wanted`` (chosen_id, number, groups), of texts fetched by id."""
+    n, copies = wanted.agg(F.count("*"), F.sum(F.size("groups"))).first()
+    texts = docs.select("id", "text").join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, F.col("id").eqNullSafe(F.col("chosen_id")))
+    gathered = dealt(texts.select(F.explode("groups").alias("group"), "number", "text"), "group", copies or 0, TEXTS_A_TASK).sortWithinPartitions("group")
     return gathered.mapInArrow(_verified(words, least), "u bigint, v bigint")
 
 
@@ -248,14 +250,14 @@ def near_sets(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataF
     fine: frozenset[int] = frozenset()
     while True:
         found = durable(docs.select("id", "text").mapInArrow(_sets(words, least, fine, WIDE), kind))
-        failed = found.agg(F.bit_or("failed")).first()[0]
+        failed, n = found.agg(F.bit_or("failed"), F.sum(F.size("keys"))).first()
         if not failed:
             break
         fine |= {i for i in range(64) if failed >> i & 1}
     named = durable(found.groupBy("number").agg(F.min("id").alias("least"), F.first("fingerprint").alias("fingerprint")))
-    keyed = found.select(F.explode("keys").alias("key"), "number").repartition("key").sortWithinPartitions("key", "number")
+    keyed = dealt(found.select(F.explode("keys").alias("key"), "number"), "key", n or 0, KEYS_A_TASK).sortWithinPartitions("key", "number")
     keyed = durable(keyed.mapInArrow(_shared, "key bigint, number bigint"))
-    printed = keyed.join(named.select("number", "fingerprint"), "number").select("key", "fingerprint")
+    printed = durable(keyed.join(named.select("number", "fingerprint"), "number").select("key", "fingerprint"))
     likely = components(keyed_links(printed, radius_of(similarity), WIDE))
     # sets of one fingerprint are candidates too
     equal = named.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select(F.col("fingerprint").alias("node"), F.col("fingerprint").alias("root"))

@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import durable
+from textloom.llm.common import dealt, durable
 
 #: Fingerprints of a tile: what one comparison holds in memory is its square in bytes, times eight.
 TILE = 512
 #: Fingerprints that one task gathers of a key; keys with more are dealt out as pairs of parts.
 PART = 4096
+#: Rows of a task that compares, about.
+ROWS_A_TASK = 250_000
 #: Bits of a wide fingerprint; standard deviations of its distance that are allowed above the wanted one.
 WIDE, SLACK = 256, 5.0
 
@@ -195,6 +197,6 @@ def keyed_links(keyed: DataFrame, radius: int, bits: int = 64) -> DataFrame:
         part = F.pmod(F.xxhash64(F.lit("part"), value), parts).cast("int")
         pairs = F.transform(F.sequence(F.lit(0), parts - 1), lambda o: F.xxhash64("key", F.least(o, part), F.greatest(o, part)))
         keyed = split.select(F.explode(F.when(F.col("n").isNull(), F.array("key")).otherwise(pairs)).alias("key"), value)
-    dealt = keyed.select("key", "fingerprint").repartition("key").sortWithinPartitions("key")
+    ready = dealt(keyed.select("key", "fingerprint"), "key", keyed.count(), ROWS_A_TASK).sortWithinPartitions("key")
     kind = "bigint" if bits == 64 else "binary"
-    return dealt.mapInArrow(_compare(radius), f"u {kind}, v {kind}")
+    return ready.mapInArrow(_compare(radius), f"u {kind}, v {kind}")
