@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from textloom.llm.common import with_made
+from textloom.llm.common import with_made, with_several_made
 
 #: Stands for the word-end marker in the automaton's alphabet, beside the 256 bytes.
 END = "Ā"
@@ -253,3 +253,19 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     """Add the decoded text of each row's ids; none for null or empty ids gives an empty text."""
     shared = df.sparkSession.sparkContext.broadcast(definition_of(path))
     return with_made(df, ids, text, T.StringType(), lambda: decoder(shared.value).decode)
+
+
+def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", keep: bool = True) -> DataFrame:
+    """``encode`` and ``decode`` of its ids in one pass, so that neither texts nor ids move between two Python workers."""
+    shared = df.sparkSession.sparkContext.broadcast(definition_of(path))
+
+    def make() -> Callable[[str | None], tuple[bytes, str]]:
+        there, back = loaded(shared.value).fresh().encode, decoder(shared.value).decode
+
+        def one(value: str | None) -> tuple[bytes, str]:
+            made = there(value)
+            return made, back(made)
+
+        return one
+
+    return with_several_made(df, text, [(ids, T.BinaryType()), (decoded, T.StringType())], make, keep)

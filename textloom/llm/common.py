@@ -68,9 +68,15 @@ def without(rows: DataFrame, gone: DataFrame, key: Sequence[Column], broadcast_k
     return keyed.join(out, same, "left_anti").drop(*names)
 
 
-def dealt(rows: DataFrame, key: str, count: int, each: int) -> DataFrame:
-    """``rows`` dealt by ``key`` to as many partitions as make ``each`` rows a partition, for tasks of bounded memory."""
-    return rows.repartition(max(rows.sparkSession.sparkContext.defaultParallelism, -(-count // each)), key)
+def dealt(rows: DataFrame, key: str | Sequence[str], count: int, each: int) -> DataFrame:
+    """``rows`` dealt by ``key`` to as many partitions as make ``each`` rows a partition, within what the session sets."""
+    return rows.repartition(partitions(rows.sparkSession, count, each), *([key] if isinstance(key, str) else key))
+
+
+def partitions(spark: SparkSession, count: int, each: int) -> int:
+    """Partitions of ``each`` rows: at least one for each core, at most the session's shuffle partitions."""
+    cores = spark.sparkContext.defaultParallelism
+    return min(max(cores, -(-count // each)), max(cores, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
 def ascii_lower(text: Column) -> Column:
@@ -90,17 +96,30 @@ def with_made(df: DataFrame, source: str, name: str, kind: T.DataType, make: Cal
     ``make`` is called once a task for the function of one value. The other columns go
     along as Arrow arrays. A column already named ``name`` in any case is an error.
     """
-    if fresh(df.columns, name) != name:
-        raise ValueError(f"the column {name} exists")
-    at, to = df.columns.index(source), to_arrow_type(kind)
+
+    def one() -> Callable:
+        made = make()
+        return lambda v: (made(v),)
+
+    return with_several_made(df, source, [(name, kind)], one, keep)
+
+
+def with_several_made(df: DataFrame, source: str, made: Sequence[tuple[str, T.DataType]], make: Callable[[], Callable], keep: bool = True) -> DataFrame:
+    """As with_made, for several columns, of which the function gives a tuple."""
+    for i, (name, _) in enumerate(made):
+        if fresh([*df.columns, *(n for n, _ in made[:i])], name) != name:
+            raise ValueError(f"the column {name} exists")
+    at, to = df.columns.index(source), [to_arrow_type(kind) for _, kind in made]
     stay = [i for i in range(len(df.columns)) if keep or i != at]
+    names = [n for n, _ in made]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(start, ROWS)
-                made = pa.array([one(v) for v in rows.column(at).to_pylist()], to)
-                yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in stay), made], [*(rows.schema.names[i] for i in stay), name])
+                values = [one(v) for v in rows.column(at).to_pylist()]
+                new = [pa.array([v[k] for v in values], kind) for k, kind in enumerate(to)]
+                yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in stay), *new], [*(rows.schema.names[i] for i in stay), *names])
 
-    return df.mapInArrow(run, T.StructType([*(df.schema.fields[i] for i in stay), T.StructField(name, kind)]))
+    return df.mapInArrow(run, T.StructType([*(df.schema.fields[i] for i in stay), *(T.StructField(n, kind) for n, kind in made)]))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from textloom.llm.common import fresh
+from textloom.llm.common import dealt, fresh, partitions
 
 #: Documents of a block at least; blocks at most, for which blocks get longer; rows of a ranking group; blocks of a row of slots.
 BLOCK, MOST_BLOCKS, GROUP, SEGMENT = 64, 1 << 20, 4096, 256
@@ -102,6 +102,7 @@ def ranked(docs: DataFrame, key: str, source: str, counts: dict, rank_: str) ->
         rows = rows.withColumn(group_, F.lit(0).cast("long"))
     sizes = rows.groupBy(F.col(named_).alias("s"), F.col(group_).alias("g")).agg(F.count("*").alias("n"))
     before = sizes.select("s", "g", (F.sum("n").over(Window.partitionBy("s").orderBy("g")) - F.col("n")).alias("before"))
+    rows = dealt(rows, [named_, group_], sum(counts.values()), GROUP)
     own = Window.partitionBy(named_, group_).orderBy(order_, f"`{key}`")
     rows = rows.withColumn(rank_, F.row_number().over(own) - 1)
     joined = rows.join(before, (rows[named_] == before["s"]) & (rows[group_] == before["g"]))
@@ -147,7 +148,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", weights: d
     return placed.select(*[rows[f"`{c}`"] for c in docs.columns], out.alias(into))
 
 
-def in_order(docs: DataFrame, into: str = "mix") -> DataFrame:
-    """The mix in order over its partitions, which are cut by position."""
+def in_order(docs: DataFrame, into: str = "mix", rows: int | None = None) -> DataFrame:
+    """The mix in order over its partitions, which are cut by position; ``rows``, if told, bounds their size."""
     place = F.col(f"{into}.position")
-    return docs.repartitionByRange(place).sortWithinPartitions(place)
+    parts = [] if rows is None else [partitions(docs.sparkSession, rows, GROUP)]
+    return docs.repartitionByRange(*parts, place).sortWithinPartitions(place)

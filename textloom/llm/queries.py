@@ -19,7 +19,7 @@ def op1_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.decode(bpe.encode(docs, WORD_BPE, keep=False), WORD_BPE).select(
+    return bpe.round_trip(docs, WORD_BPE, keep=False).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
