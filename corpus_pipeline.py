@@ -36,14 +36,14 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mix over the written files."""
-    return mixing.in_order(mixing.mix(docs, into="place_in_mix"), "place_in_mix").select(*docs.columns)
+    placed = mixing.mix(docs, into="place_in_mix")
+    return mixing.in_order(placed, "place_in_mix", docs.count()).select(*docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, with each document's place in the mix: reading files doesn't keep their order, so it is told again here."""
     placed = mixing.mix(docs.select("doc_id", "lang", "source", "text"), into="place_in_mix")
-    ids = bpe.encode(placed, TOKENIZER, keep=False)
-    return bpe.decode(ids, TOKENIZER).select(
+    return bpe.round_trip(placed, TOKENIZER, keep=False).select(
         "doc_id",
         "lang",
         "source",
@@ -76,5 +76,11 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if k:
             docs.write.parquet(f"{folder}/{k}")
             docs = spark.read.parquet(f"{folder}/{k}")
+            remove(spark, f"{folder}/{k - 1}")  # what the stage before read is not needed again
         docs = stage(spark, docs, sf_dir)
     return docs
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
