@@ -86,6 +86,18 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, upper, lower))
 
 
+#: Bytes of an Arrow batch, about: batches of long texts are held several times over, outside of the JVM's heap and in Python.
+BATCH_BYTES = 4 << 20
+
+
+def in_batches(df: DataFrame, run: Callable, kind: T.StructType | str) -> DataFrame:
+    """mapInArrow with batches of BATCH_BYTES at most, to which the session's limit is lowered if it is higher."""
+    conf, limit = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(limit).removesuffix("b")) > BATCH_BYTES:
+        conf.set(limit, str(BATCH_BYTES))
+    return df.mapInArrow(run, kind)
+
+
 #: Rows of which values are in Python at a time; a batch of Arrow has many more.
 ROWS = 256
 
@@ -122,4 +134,4 @@ def with_several_made(df: DataFrame, source: str, made: Sequence[tuple[str, T.Da
                 new = [pa.array([v[k] for v in values], kind) for k, kind in enumerate(to)]
                 yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in stay), *new], [*(rows.schema.names[i] for i in stay), *names])
 
-    return df.mapInArrow(run, T.StructType([*(df.schema.fields[i] for i in stay), *(T.StructField(n, kind) for n, kind in made)]))
+    return in_batches(df, run, T.StructType([*(df.schema.fields[i] for i in stay), *(T.StructField(n, kind) for n, kind in made)]))

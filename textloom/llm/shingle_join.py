@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import ROWS, dealt, durable
+from textloom.llm.common import ROWS, dealt, durable, in_batches
 from textloom.llm.components import components
 from textloom.llm.tiles import WIDE, keyed_links, majority, radius_of
 
@@ -202,7 +202,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, words: int, least: Fraction) ->
     n, copies = wanted.agg(F.count("*"), F.sum(F.size("groups"))).first()
     texts = docs.select("id", "text").join(F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted, F.col("id").eqNullSafe(F.col("chosen_id")))
     gathered = dealt(texts.select(F.explode("groups").alias("group"), "number", "text"), "group", copies or 0, TEXTS_A_TASK).sortWithinPartitions("group")
-    return gathered.mapInArrow(_verified(words, least), "u bigint, v bigint")
+    return in_batches(gathered, _verified(words, least), "u bigint, v bigint")
 
 
 def verified_links(docs: DataFrame, chosen: DataFrame, words: int, least: Fraction) -> DataFrame:
@@ -249,14 +249,14 @@ def near_sets(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataF
     kind = f"id {docs.schema['id'].dataType.simpleString()}, number bigint, fingerprint binary, keys array<bigint>, failed bigint"
     fine: frozenset[int] = frozenset()
     while True:
-        found = durable(docs.select("id", "text").mapInArrow(_sets(words, least, fine, WIDE), kind))
+        found = durable(in_batches(docs.select("id", "text"), _sets(words, least, fine, WIDE), kind))
         failed, n = found.agg(F.bit_or("failed"), F.sum(F.size("keys"))).first()
         if not failed:
             break
         fine |= {i for i in range(64) if failed >> i & 1}
     named = durable(found.groupBy("number").agg(F.min("id").alias("least"), F.first("fingerprint").alias("fingerprint")))
     keyed = dealt(found.select(F.explode("keys").alias("key"), "number"), "key", n or 0, KEYS_A_TASK).sortWithinPartitions("key", "number")
-    keyed = durable(keyed.mapInArrow(_shared, "key bigint, number bigint"))
+    keyed = durable(in_batches(keyed, _shared, "key bigint, number bigint"))
     printed = durable(keyed.join(named.select("number", "fingerprint"), "number").select("key", "fingerprint"))
     likely = components(keyed_links(printed, radius_of(similarity), WIDE))
     # sets of one fingerprint are candidates too

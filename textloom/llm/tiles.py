@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import dealt, durable
+from textloom.llm.common import dealt, durable, in_batches
 
 #: Fingerprints of a tile: what one comparison holds in memory is its square in bytes, times eight.
 TILE = 512
@@ -199,4 +199,4 @@ def keyed_links(keyed: DataFrame, radius: int, bits: int = 64) -> DataFrame:
         keyed = split.select(F.explode(F.when(F.col("n").isNull(), F.array("key")).otherwise(pairs)).alias("key"), value)
     ready = dealt(keyed.select("key", "fingerprint"), "key", keyed.count(), ROWS_A_TASK).sortWithinPartitions("key")
     kind = "bigint" if bits == 64 else "binary"
-    return ready.mapInArrow(_compare(radius), f"u {kind}, v {kind}")
+    return in_batches(ready, _compare(radius), f"u {kind}, v {kind}")
