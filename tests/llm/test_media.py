@@ -40,7 +40,35 @@ def test_damage_is_found():
     media = ogg.read(bytes(data))
     assert media.bad_pages == 1
     assert ogg.read(b"junk" + ogg.write(ogg.padded(b"x")) + b"tail").payload == ogg.padded(b"x")
-    assert ogg.read(None).streams == [] and ogg.read(b"OggS").payload == b""
+    assert media.payload is None and media.joined()[1] == "pages are lost"
+    assert ogg.read(None).streams == [] and ogg.read(b"OggS").payload is None
+
+
+def pages_of(data):
+    at = [i for i in range(len(data)) if data.startswith(b"OggS", i)]
+    return [data[i:j] for i, j in zip(at, [*at[1:], len(data)], strict=True)]
+
+
+def test_damage_of_each_kind_has_a_defined_result(spark):
+    payload = ogg.padded(random.Random(5).randbytes(300_000))
+    whole = ogg.write(payload)
+    pages = pages_of(whole)
+    assert b"".join(pages) == whole and len(pages) > 6
+    cases = [(whole, None), (None, None), (b"", None)]
+    for k in range(len(pages)):
+        flipped = bytearray(pages[k])
+        flipped[-1] ^= 1
+        cases.append((b"".join([*pages[:k], bytes(flipped), *pages[k + 1 :]]), "lost"))
+        cases.append((b"".join(pages[:k] + pages[k + 1 :]), "lost"))
+    foreign = b"".join(p for _, p in ogg.pages(9, [(b"pcm8mono", 0), (b"x" * 500, 500)]))
+    cases += [(foreign, "lost"), (b"junk", "lost"), (foreign + whole, None), (whole[: len(whole) // 2], "lost"), (whole + whole[: len(pages[0])], "lost")]
+    rows = ogg.load(spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "id int, media binary")).collect()
+    for r in rows:
+        media, kind = cases[r["id"]]
+        if kind is None:
+            assert r["loaded"]["error"] is None and bytes(r["loaded"]["payload"]) == (payload if media else b""), r["id"]
+        else:
+            assert r["loaded"]["error"] and r["loaded"]["payload"] is None, r["id"]
 
 
 def test_lost_page_loses_its_packets_only():

@@ -41,7 +41,7 @@ GENERATION = 100_000
 NEVER = 1 << 30
 #: Stands before a word; larger than any token.
 START = (1 << 20) - 1
-MOST_PAIRS = 500_000
+MOST_PAIRS = 150_000
 
 
 def byte_chars() -> dict[str, str]:
@@ -89,7 +89,9 @@ class PrefixBpe:
         from tokenizers import Tokenizer
 
         spec = json.loads(definition)
-        model, library = spec["model"], Tokenizer.from_str(definition)
+        model = spec["model"]
+        # the library only cuts texts, for which it needs no vocabulary
+        library = Tokenizer.from_str(json.dumps(spec | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None}))
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         self.suffix = model["end_of_word_suffix"] or ""
         self.strings = strings_of(spec)
@@ -119,6 +121,9 @@ class PrefixBpe:
                 self.whole.add(i)
                 self.automaton.add_word(text, (len(text), i))
         self.automaton.make_automaton()
+        # found again for the tokens in use
+        self.left.clear()
+        self.right.clear()
         self.sizes = {i: n for n, i in self.automaton.values()}
         self.chunks, self.known = Cache(self._chunk), Cache(self._word)
 

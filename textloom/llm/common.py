@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import shutil
+import sys
 import tempfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
@@ -98,6 +102,15 @@ def in_batches(df: DataFrame, run: Callable, kind: T.StructType | str) -> DataFr
     return df.mapInArrow(run, kind)
 
 
+def unused() -> None:
+    """Give memory that a task has used back, as its Python worker waits for other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Rows of which values are in Python at a time; a batch of Arrow has many more.
 ROWS = 256
 
@@ -133,5 +146,7 @@ def with_several_made(df: DataFrame, source: str, made: Sequence[tuple[str, T.Da
                 values = [one(v) for v in rows.column(at).to_pylist()]
                 new = [pa.array([v[k] for v in values], kind) for k, kind in enumerate(to)]
                 yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in stay), *new], [*(rows.schema.names[i] for i in stay), *names])
+        del one
+        unused()
 
     return in_batches(df, run, T.StructType([*(df.schema.fields[i] for i in stay), *(T.StructField(n, kind) for n, kind in made)]))

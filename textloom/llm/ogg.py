@@ -82,7 +82,7 @@ def write(payload: bytes, rate: int = 8000, packet_samples: int = 2048, channels
     return b"".join(first + [x[3] for x in sorted(rest, key=lambda x: x[:3])])
 
 
-@dataclass
+@dataclass(eq=False)
 class Stream:
     serial: int
     packets: list[bytes] = field(default_factory=list)
@@ -90,12 +90,14 @@ class Stream:
     ends: list[int] = field(default_factory=list)
     pages: int = 0
     lost: int = 0
+    #: whether the page that is marked as the last has come
+    ended: bool = False
     _open: bytearray | None = None
     _next: int = 0
-    _waiting: int = 0
 
     def take(self, flags: int, granule: int, sequence: int, lacing: bytes, body: memoryview) -> None:
         gap = sequence != self._next
+        self.ended = bool(flags & LAST)
         if gap or not flags & CONTINUED:
             self.lost += self._open is not None or gap
             self._open = None
@@ -125,25 +127,39 @@ class Media:
     streams: list[Stream]
     bad_pages: int
 
-    @property
-    def payload(self) -> bytes:
-        """The samples of all channels of this writer's streams, together again."""
-        own = {}
+    def own(self) -> dict[Stream, tuple[int, int, int]]:
+        """This writer's streams, with the number of the channel, the channels and the samples a second that they open with."""
+        out = {}
         for s in self.streams:
             if s.packets and len(s.packets[0]) == OPENING.size and s.packets[0].startswith(NAME):
-                own[OPENING.unpack(s.packets[0])[1]] = b"".join(s.packets[1:])
+                out[s] = OPENING.unpack(s.packets[0])[1:]
+        return out
+
+    def joined(self) -> tuple[bytes | None, str | None]:
+        """The samples of all channels of this writer's streams, together again; or null, and why they can't be."""
+        own = self.own()
         if not own:
-            return b""
-        out = bytearray(sum(map(len, own.values())))
-        for c, samples in own.items():
-            if len(out[c :: len(own)]) != len(samples):
-                raise ValueError("a channel lacks samples")
-            out[c :: len(own)] = samples
-        return bytes(out)
+            return None, "no stream of this writer"
+        channels = {n for _, n, _ in own.values()}
+        if len(channels) > 1 or sorted(c for c, _, _ in own.values()) != list(range(*channels)):
+            return None, "the channels aren't those that the streams tell of"
+        n = channels.pop()
+        if any(s.lost or not s.ended for s in own):
+            return None, "pages are lost"
+        samples = {c: b"".join(s.packets[1:]) for s, (c, _, _) in own.items()}
+        out = bytearray(sum(map(len, samples.values())))
+        if any(len(out[c::n]) != len(x) or (s.ends[-1] if len(s.packets) > 1 else 0) != len(x) for s, (c, _, _) in own.items() for x in [samples[c]]):
+            return None, "samples are lost"
+        for c, x in samples.items():
+            out[c::n] = x
+        return bytes(out), None
+
+    @property
+    def payload(self) -> bytes | None:
+        return self.joined()[0]
 
     def seconds(self) -> float:
-        rates = [OPENING.unpack(s.packets[0])[3] for s in self.streams if s.packets and s.packets[0].startswith(NAME)]
-        return max((s.ends[-1] / r for s, r in zip(self.streams, rates, strict=False) if s.ends and r), default=0.0)
+        return max((s.ends[-1] / rate for s, (_, _, rate) in self.own().items() if rate), default=0.0)
 
 
 def read(data: bytes | None) -> Media:
@@ -164,14 +180,15 @@ def read(data: bytes | None) -> Media:
     return Media(list(streams.values()), bad)
 
 
-def feature(media: Media, payload: bytes) -> str:
+def feature(media: Media, payload: bytes | None) -> str:
+    payload = payload or b""
     counts = f"streams={len(media.streams)} pages={sum(s.pages for s in media.streams)} packets={sum(len(s.packets) for s in media.streams)}"
     return f"{counts} bad={media.bad_pages} lost={sum(s.lost for s in media.streams)} seconds={media.seconds():.6f} silence={payload.count(0)} kinds={len(set(payload))}"
 
 
 def _loaded(data: bytes | None) -> dict:
     found = read(data)
-    payload = found.payload
+    payload, error = found.joined() if data else (b"", None)
     return {
         "payload": payload,
         "streams": len(found.streams),
@@ -180,6 +197,7 @@ def _loaded(data: bytes | None) -> dict:
         "bad_pages": found.bad_pages,
         "seconds": found.seconds(),
         "feature": feature(found, payload),
+        "error": error,
     }
 
 
@@ -193,11 +211,13 @@ def store(df: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
 
 
 def load(df: DataFrame, media: str = "media", into: str = "loaded") -> DataFrame:
-    """Add a struct read back from the stored bytes: payload, streams, pages, packets, bad_pages, seconds, feature.
+    """Add a struct read back from the stored bytes: payload, streams, pages, packets, bad_pages, seconds, feature, error.
 
-    Null media and bytes without a page have an empty payload and no streams.
+    Null and empty media have an empty payload and no streams. Bytes from which not every
+    sample of every channel can be had have a null payload, and error tells why: no
+    stream of this writer, channels that are missing, pages or samples that are lost.
     """
-    kind = T.StructType.fromDDL("payload binary, streams int, pages int, packets bigint, bad_pages int, seconds double, feature string")
+    kind = T.StructType.fromDDL("payload binary, streams int, pages int, packets bigint, bad_pages int, seconds double, feature string, error string")
     return with_made(df, media, into, kind, lambda: _loaded)
 
 

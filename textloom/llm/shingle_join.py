@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import ROWS, dealt, durable, in_batches
+from textloom.llm.common import ROWS, dealt, durable, in_batches, unused
 from textloom.llm.components import components
 from textloom.llm.tiles import WIDE, keyed_links, majority, radius_of
 
@@ -193,6 +193,8 @@ def _verified(words: int, least: Fraction):
                     number.append(n)
                     sets.append(shingle_set(text, words))
         yield from edges(number, sets)
+        del number, sets
+        unused()
 
     return run
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import ascii_lower, fresh
+from textloom.llm.common import ascii_lower, durable
 
 #: (verdict, host, path)
 RULES = (
@@ -22,6 +22,8 @@ RULES = (
 BITS_PER_URL, SET_BITS = 16, 6
 #: Blocks up to which the filter is broadcast: 2^20 rows of two longs. A larger one is joined by a shuffle.
 BROADCAST_BLOCKS = 1 << 20
+#: Keys to which rows that aren't looked up are spread.
+SPREAD = 4096
 #: The list of the query: all pages of hosts with one of these names.
 LISTED_NAMES = ("adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 
@@ -82,25 +84,30 @@ def judge(pages: DataFrame, listed: DataFrame, key: str = "page_id", url: str =
     ``listed`` has one column of canonical URLs; nulls and repeated ones don't matter. A
     rule's verdict holds; else listed URLs are blocked and others allowed, null and
     malformed ones too. The Bloom filter passes possible hits to an exact join by URL,
-    which takes out false ones. Repeated pages come out as often.
+    which takes out false ones. Repeated pages come out as often. ``pages`` is read once,
+    ``listed`` once too, as its distinct URLs are written to the shared folder.
     """
     names = listed.columns
-    known = listed.select(F.col(names[0]).alias("canon")).where("canon IS NOT NULL").distinct()
+    known = durable(listed.select(F.col(names[0]).alias("canon")).where("canon IS NOT NULL").distinct())
     blocks = 1 << max(0, (known.count() * BITS_PER_URL // 64)).bit_length()
     words = bloom(known, "canon", blocks)
     u, h, p = F.col("url"), F.col("host"), F.col("path")
-    rows = pages.select(F.col(key).alias("id"), F.col(url).alias("url")).select("id", host(u).alias("host"), path(u).alias("path"), canonical(u).alias("canon"))
+    rows = pages.select(F.col(f"`{key}`").alias("id"), F.col(f"`{url}`").alias("url")).select("id", host(u).alias("host"), path(u).alias("path"), canonical(u).alias("canon"))
     rows = rows.select("*", by_rule(rules, h, p, None).alias("rule"), by_rule(rules, h, p, 0).alias("said"))
-    ruled = rows.where("rule IS NOT NULL OR canon IS NULL").withColumn("listed", F.lit(False))
-    open_ = rows.where("rule IS NULL AND canon IS NOT NULL").withColumn("block", block_of(F.col("canon"), blocks))
-    probed = open_.join(F.broadcast(words) if blocks <= BROADCAST_BLOCKS else words, "block", "left")
-    maybe = F.coalesce(F.col("word").bitwiseAND(mask_of(F.col("canon"))) == mask_of(F.col("canon")), F.lit(False))
-    out = ["id", "host", "path", "canon", "rule", "said"]
-    missed = probed.where(~maybe).select(*out, F.lit(False).alias("listed"))
-    hits = probed.where(maybe).select(*out).join(known.withColumn("hit", F.lit(True)), "canon", "left")
-    hits = hits.select(*out, F.coalesce("hit", F.lit(False)).alias("listed"))
-    verdict = F.coalesce("said", F.when(F.col("listed"), "block").otherwise("allow"))
-    return ruled.unionByName(missed).unionByName(hits).select(F.col("id").alias(key), "host", "path", "rule", verdict.alias("verdict"), "listed")
+    open_ = F.col("rule").isNull() & F.col("canon").isNotNull()
+    rows = rows.withColumn("block", F.when(open_, block_of(F.col("canon"), blocks)))
+    # rows that aren't looked up have null keys; should a side be too large for a broadcast, another key spreads them
+    apart = lambda c: F.when(c.isNull(), F.pmod(F.xxhash64("id", "path"), F.lit(SPREAD))).otherwise(0).cast("long")
+    probed = rows.withColumn("apart", apart(F.col("block")))
+    words = words.withColumn("apart", F.lit(0).cast("long"))
+    probed = probed.join(F.broadcast(words) if blocks <= BROADCAST_BLOCKS else words, ["block", "apart"], "left")
+    maybe = F.col("word").bitwiseAND(mask_of(F.col("canon"))) == mask_of(F.col("canon"))
+    probed = probed.withColumn("sought", F.when(maybe, F.col("canon"))).withColumn("apart", apart(F.col("sought")))
+    listed_ = known.select(F.col("canon").alias("sought"), F.lit(0).cast("long").alias("apart"), F.lit(True).alias("hit"))
+    hit = F.coalesce(F.col("hit"), F.lit(False))
+    verdict = F.coalesce("said", F.when(hit, "block").otherwise("allow"))
+    out = probed.join(listed_, ["sought", "apart"], "left")
+    return out.select(F.col("id").alias(key), "host", "path", "rule", verdict.alias("verdict"), hit.alias("listed"))
 
 
 def listed_urls(pages: DataFrame, url: str = "url", names: Sequence[str] = LISTED_NAMES) -> DataFrame:
