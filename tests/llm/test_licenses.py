@@ -1,5 +1,6 @@
 import random
 import re
+from fractions import Fraction
 
 import pytest
 
@@ -18,18 +19,17 @@ def base(text):
     return len(words), len(places), places[0][0] if places else None, places[-1][0] if places else None, ",".join(sorted({x for _, x in places}))
 
 
-def method(text, templates=license_scan.TEMPLATES, t=license_scan.CONTAINMENT):
+def method(text, templates=license_scan.TEMPLATES, t=Fraction(4, 5)):
+    """Labels and score from windows of 64 words (or twice the longest template) at every half."""
     labels, score = set(), 0.0
-    for line in (text or "").split("\n"):
-        words = words_of(line)
-        for at in range(0, max(1, len(words)), 32):
-            block = set(words[at : at + 64])
-            for label, template in templates:
-                own = set(words_of(template))
-                shared = len(own & block) / len(own)
-                if shared >= t:
-                    labels.add(label)
-                    score = max(score, shared)
+    words, half = words_of(text), max(32, *(len(words_of(x)) for _, x in templates))
+    for at in range(0, max(1, len(words)), half):
+        block = set(words[at : at + 2 * half])
+        for label, template in templates:
+            own = set(words_of(template))
+            if len(own & block) >= t * len(own):
+                labels.add(label)
+                score = max(score, len(own & block) / len(own))
     return labels, score
 
 
@@ -76,3 +76,21 @@ def test_overlapping_places_and_clashing_columns(spark):
 
 def test_empty_table(none):
     assert license_scan.scan(none).count() == 0
+
+
+def test_a_thousand_templates(spark):
+    r = random.Random(8)
+    pool = [f"w{i}" for i in range(3000)]
+    templates = [(f"t{i}", " ".join(r.choice(pool) for _ in range(r.randint(1, 30)))) for i in range(1000)]
+    texts = [" ".join([*(r.choice(pool) for _ in range(40)), *(w for w in r.choice(templates)[1].split() if r.random() > 0.15), *(r.choice(pool) for _ in range(60))]) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate([*texts, "", None])), "doc_id int, text string")
+    for x in license_scan.scan(docs, templates=templates).collect():
+        labels, score = method(x["text"], templates)
+        assert set(x["licenses"]["labels"]) == labels and x["licenses"]["score"] == pytest.approx(score)
+
+
+def test_needed_words_are_whole_numbers(spark):
+    own = [f"w{i}" for i in range(25)]
+    docs = spark.createDataFrame([(n, " ".join(own[:n])) for n in (13, 14, 15)], "n int, text string")
+    found = license_scan.scan(docs, templates=[("x", " ".join(own))], containment=0.56).collect()
+    assert {x["n"]: bool(x["licenses"]["labels"]) for x in found} == {13: False, 14: True, 15: True}
