@@ -1,4 +1,5 @@
 import hashlib
+import math
 import re
 
 import pytest
@@ -84,3 +85,85 @@ def test_method_adds_spans_and_leaves_clean_texts(spark):
 
 def test_empty_table(spark, none):
     assert pii.scan(none.select("doc_id", "text")).count() == 0
+
+
+FILL = "plain words of a text that tells nothing more".split()
+PLANTED = [
+    ("call me on my phone {} please", ["(030) 555-2485", "212-555-01{}"]), ("tel. {} or later", ["(212) 555-01{}"]), ("write to {} now", ["joe{} (at) site (dot) org", "ann{}[at]mail.example.com"]),
+    ("our login key {} here", ["AKIA447BD7EW7YT55J{}"]), ("export config {} end", ['token = "1beb58b8af68854f0e{}"', "password=abcdef{}hij"]), ("Dear Mr {} hello", ["James Walker", "Peter Miller", "Anna Schmidt"]),
+    ("signed by {}.", ["Sarah Connor", "Klaus Weber"]), ("mail from {} today", ["x{}@y.org"]), ("server address {} is up", ["84.12.7.{}"]), ("credit card {} paid", ["4111 1111 1111 1111"]), ("call {} anytime", ["+49 30 12345{}"]),
+]
+
+
+@pytest.fixture(scope="module")
+def planted():
+    import random
+
+    r, out = random.Random(3), []
+    for i in range(400):
+        text, spans = "", []
+        for _ in range(r.randint(0, 3)):
+            form, values = r.choice(PLANTED)
+            value = r.choice(values).replace("{}", str(10 + r.randrange(90)))
+            text += " ".join(r.choice(FILL) for _ in range(r.randint(1, 9))) + "\n"
+            before = len(text) + form.index("{}")
+            spans.append((before, before + len(value)))
+            text += form.replace("{}", value) + "\n"
+        out.append((i, text + r.choice(["", "see page 12, version 1.2.3.400 of order 555-12\n", "invoice no 4111 1111 1111 1112"]), spans))
+    return out
+
+
+def test_every_labeler_votes_and_counts(spark, planted):
+    docs = spark.createDataFrame([x[:2] for x in planted], "doc_id long, text string")
+    x = F.col("x")
+    every = docs.select(F.explode(F.concat(*[pii.found(F.col("text"), *p) for p in (*pii.BASE, *pii.MORE)])).alias("x"))
+    cast = every.select(*[F.count_distinct(v).alias(n) for n, v in pii.votes(x).items()]).first().asDict()
+    assert set(cast) == set(pii.LABELERS) and min(cast.values()) >= 2, cast
+    weights = pii.train(docs)
+    assert all(abs(weights[n]) > 0.05 for n in pii.LABELERS), weights
+
+
+def test_recall_on_planted_spans_is_above_that_of_the_base(spark, planted):
+    rows = {r["doc_id"]: r["pii"] for r in pii.scan(spark.createDataFrame([x[:2] for x in planted], "doc_id long, text string")).collect()}
+    total = sum(len(s) for _, _, s in planted)
+    caught = {kind: sum((a, b) in {(x["start"], x["end"]) for x in rows[i][kind]} for i, _, spans in planted for a, b in spans) for kind in ("base", "spans")}
+    assert caught["base"] < 0.5 * total and caught["spans"] > 0.9 * total, (caught, total)
+    assert not any(rows[i]["spans"] for i, _, spans in planted if not spans)
+
+
+def brute_spans(text, weights):
+    """All spans with their kinds, candidate by candidate."""
+    python = lambda p: p.replace(r"\p{Lu}", "[A-ZÀ-ÖØ-Þ]").replace(r"\p{Ll}", "[a-zß-öø-ÿ]").replace(r"[\p{L}]", "[A-Za-zÀ-ÖØ-öø-ÿ]").replace(r"\p{L}", "[A-Za-zÀ-ÖØ-öø-ÿ]")
+    hit = lambda p, x: re.search(python(p), x) is not None
+    known, more = [(a, k, b) for a, k, b, _ in base(text)], []
+    for kind, pattern, _ in pii.MORE:
+        last = 0
+        for m in re.finditer(python(pattern), text):
+            before, t = text[last : m.start()][-48:], m[0]
+            following = re.search(python(pattern), text[m.end() :])
+            rest = text[m.end() :][: following.start()] if following else text[m.end() :]
+            last, n = m.end(), len(re.sub("[^0-9]", "", t))
+            shaped = {"email": "@" not in t and hit("[A-Za-z]", t) or hit("^[^@]*[A-Za-z].*$", t), "phone": 10 <= n <= 13, "secret": hit("[0-9]", t) and hit("[A-Za-z]", t), "name": 7 <= len(t) <= 40}[kind]
+            cued = hit(pii.near_before(pii.CUES[kind], 24), before) or hit(pii.near_after(pii.CUES[kind], 16), rest[:32])
+            seen = {
+                "valid": 1 if kind != "phone" or 9 <= n <= 15 else -1,
+                "listed": 1 if hit(pii.listed_pattern(kind), t) else -1,
+                "said": int(cued),
+                "unsaid": -int(hit(pii.near_before(pii.AGAINST, 3), before)),
+                "shaped": 1 if shaped else -1,
+                "joined_before": int(hit("[A-Za-z0-9]$", before)),
+                "joined_after": int(hit("^[A-Za-z0-9]", rest)),
+            }
+            z = weights[f"is_{kind}"] + sum(weights[name] * v for name, v in seen.items())
+            if 1 / (1 + math.exp(-z)) >= pii.ACCEPT:
+                more.append((m.start(), pii.KINDS.index(kind), m.end()))
+    free = sorted(m for m in more if not any(b[0] < m[2] and m[0] < b[2] for b in known))
+    return sorted(known + [m for m in free if not any(o < m and o[0] < m[2] and m[0] < o[2] for o in free)])
+
+
+def test_spans_as_by_brute_force(spark, planted):
+    docs = spark.createDataFrame([x[:2] for x in planted], "doc_id long, text string")
+    trained = pii.train(docs)
+    for weights in (trained, trained | {"said": -4.0, "is_name": 9.0}, trained | {"unsaid": -9.0, "joined_after": 5.0}):
+        for r in pii.scan(docs, weights).collect():
+            assert [(x["start"], x["kind"], x["end"]) for x in r["pii"]["spans"]] == brute_spans(r["text"], weights), r["text"]

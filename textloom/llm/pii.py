@@ -1,6 +1,7 @@
 """Personal data by weak supervision, in DataFrame functions only.
 
-Pattern candidates get votes of labelers (validity, gazetteer, context, shape);
+Candidates of patterns and of a gazetteer of names get votes of labelers: validity,
+gazetteer, context for and against on both sides, and shape;
 expectation-maximisation over the counts of vote patterns estimates how reliable each
 labeler is for each kind, and its posteriors train the final span classifier, whose
 weights are written into the plan.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.common import fresh
 
-KINDS = ("email", "ip", "card", "phone", "secret")
+KINDS = ("email", "ip", "card", "phone", "secret", "name")
 #: (kind, pattern, a string every match has, or a pattern for one). Possessive: nothing after them could need what they took,
 #: and Java's ordinary repeated groups use the stack. \G and the lookbehind start an email only where a run of its
 #: characters starts or the last match ended: other starts within the run fail as well.
@@ -29,28 +30,59 @@ BASE = (
 )
 MORE = (
     ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?[(\[]at[)\]]\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|[(\[]dot[)\]])\x20?[A-Za-z0-9-]{1,63}){1,8}", "at"),
-    ("phone", r"(?<![0-9+() .-])(?:\([0-9]{3}\)\x20?|[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9-])", None),
+    ("phone", r"(?<![0-9+().-])(?<![0-9)]\x20)(?:\([0-9]{3}\)\x20?|[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![0-9-])", None),
     ("secret", r"(?<![A-Za-z])(?:password|passwd|secret|token|api[_-]?key)\x20?[=:]\x20?[\"']?[A-Za-z0-9/+_-]{8,256}[\"']?", None),
     ("secret", r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])", "AKIA"),
 )
+#: The gazetteers: entries that a span of the kind has at the place that LISTED tells.
 GAZETTEER = {
-    "email": r"(?i)\.(?:com|org|net|edu|gov|info|io|de|fr|es|uk|it|nl|eu|ch|at|us)$",
+    "email": "com org net edu gov info io co app dev de fr es uk it nl eu ch at us ca au be se no dk fi pl pt br mx in jp cn".split(),
+    "card": "4 51 52 53 54 55 22 23 24 25 26 27 34 37 6011 65 36 38 35".split(),
+    "phone": "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split(),
+    "secret": "password passwd secret token api AKIA".split(),
+    "name": (
+        "James Mary John Patricia Robert Jennifer Michael Linda William Elizabeth David Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen "
+        "Daniel Nancy Matthew Lisa Anthony Margaret Mark Sandra Paul Ashley Steven Emily Andrew Donna George Michelle Kenneth Carol Peter Anna Hans Karl "
+        "Klaus Ursula Sabine Jürgen Heike Stefan Monika Pierre Jean Marie Jacques Camille Luc Sophie Juan José Carmen Javier Lucía Pablo Elena Miguel"
+    ).split(),
+}
+#: Where an entry stands in a span, as a pattern with a place for the entries; for ip, ranges that no one's address is from.
+LISTED = {
+    "email": r"(?i)[.\x20](?:{})$",
     "ip": r"^(?!0|10\.|127\.|192\.168\.|169\.254\.|22[4-9]\.|2[3-9][0-9]\.)",
-    "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|6011|65)",
-    "phone": r"^(?:\+(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58])|[(0-9])",
-    "secret": r"^(?:AKIA|password|passwd|token|api)",
+    "card": r"^(?:{})",
+    "phone": r"^(?:\+(?:{})|[(0-9])",
+    "secret": r"^(?:{})",
+    "name": r"^(?:{})\x20",
 }
-CONTEXT = {
-    "email": r"(?i)(?:mail|contact|write|kontakt|correo|from|to)\W{1,3}$",
-    "ip": r"(?i)(?:\bip|address|host|server|adresse|client)\W{1,3}$",
-    "card": r"(?i)(?:card|visa|credit|karte|carte|tarjeta|payment)\W{1,3}$",
-    "phone": r"(?i)(?:phone|tel|call|mobile|fax|telefon|fono)\W{1,3}$",
-    "secret": r"(?i)(?:key|secret|credentials?|login|pass)\W{1,3}$",
+MORE += (("name", rf"(?<!\p{{L}})(?=[A-Z])(?:{'|'.join(GAZETTEER['name'])})\x20\p{{Lu}}\p{{Ll}}{{2,30}}(?!\p{{L}})", "\x20"),)
+#: Words that stand near a span of the kind: up to 24 characters before it or 16 after it in its line.
+CUES = {
+    "email": "mail|email|e-mail|contact|write|kontakt|correo|courriel|from|to|cc|reply",
+    "ip": "ip|address|host|server|adresse|dirección|client|login|connection|subnet",
+    "card": "card|visa|mastercard|amex|credit|karte|carte|tarjeta|payment|paid|cvv|expires",
+    "phone": "phone|tel|call|mobile|cell|fax|telefon|teléfono|téléphone|fono|whatsapp|number",
+    "secret": "key|keys|secret|credential|credentials|login|pass|config|export|auth",
+    "name": "mr|mrs|ms|dr|prof|herr|frau|mme|sr|sra|name|named|by|author|patient|dear|signed|born|contact",
 }
-AGAINST = r"(?i)(?:version|isbn|order|invoice|no|nr|figure|page|v)\W{1,3}$"
+AGAINST = "version|isbn|order|invoice|no|nr|figure|page|chapter|serial|build|street|avenue|saint|park"
+
+
+def listed_pattern(kind: str) -> str:
+    return LISTED[kind].replace("{}", "|".join(GAZETTEER.get(kind, ())))
+
+
+def near_before(words: str, most: int) -> str:
+    return rf"(?i)(?<![\p{{L}}])(?:{words})(?!\p{{L}})[^\n]{{0,{most}}}$"
+
+
+def near_after(words: str, most: int) -> str:
+    return rf"(?i)^[^\n]{{0,{most}}}(?<!\p{{L}})(?:{words})(?!\p{{L}})"
+
+
 LABELERS = ("valid", "listed", "said", "unsaid", "shaped")
-#: Characters before a candidate that context labelers see; matches that one fold numbers.
-BEFORE, FOLD = 32, 256
+#: Characters before and after a candidate that context labelers see; matches that one fold numbers.
+BEFORE, AFTER, FOLD = 48, 32, 256
 ACCEPT = 0.9
 
 
@@ -91,7 +123,7 @@ def found(text: Column, kind: str, pattern: str, needs: str | None) -> Column:
             (z["s"] + F.length(z["m"])).alias("end"),
             z["m"].alias("text"),
             F.substring(z["g"], -BEFORE, BEFORE).alias("before"),
-            F.substring(z["n"], 1, 1).alias("after"),
+            F.substring(z["n"], 1, AFTER).alias("after"),
         ),
     )
     there = text.rlike("[=:]") if kind == "secret" and not needs else text.contains(needs) if needs else text.rlike("[0-9]")
@@ -128,7 +160,7 @@ def valid(x: Column) -> Column:
 
 def votes(x: Column) -> dict[str, Column]:
     """1, -1 or 0 (abstains) of each labeler."""
-    t, before = x["text"], x["before"]
+    t, before, after = x["text"], x["before"], x["after"]
     yes = lambda c, no: F.when(c, 1).otherwise(no)
     shape = {
         "email": t.rlike("^[^@]*[A-Za-z].*$"),
@@ -136,12 +168,14 @@ def votes(x: Column) -> dict[str, Column]:
         "card": F.length(digits(t)).isin(15, 16),
         "phone": F.length(digits(t)).between(10, 13),
         "secret": t.rlike("[0-9]") & t.rlike("[A-Za-z]"),
+        "name": F.length(t).between(7, 40),
     }
+    cued = {k: before.rlike(near_before(w, 24)) | after.rlike(near_after(w, 16)) for k, w in CUES.items()}
     return {
         "valid": yes(valid(x), -1),
-        "listed": yes(by_kind(x, {k: t.rlike(p) for k, p in GAZETTEER.items()}, F.lit(False)), -1),
-        "said": yes(by_kind(x, {k: before.rlike(p) for k, p in CONTEXT.items()}, F.lit(False)), 0),
-        "unsaid": F.when(before.rlike(AGAINST), -1).otherwise(0),
+        "listed": yes(by_kind(x, {k: t.rlike(listed_pattern(k)) for k in KINDS}, F.lit(False)), -1),
+        "said": yes(by_kind(x, cued, F.lit(False)), 0),
+        "unsaid": F.when(before.rlike(near_before(AGAINST, 3)), -1).otherwise(0),
         "shaped": yes(by_kind(x, shape, F.lit(False)), -1),
     }
 
@@ -149,7 +183,7 @@ def votes(x: Column) -> dict[str, Column]:
 def marks(x: Column) -> dict[str, Column]:
     """What the classifier sees beside the votes: the characters next to the span."""
     word = r"^[A-Za-z0-9]$"
-    return {"joined_before": F.substring(x["before"], -1, 1).rlike(word), "joined_after": x["after"].rlike(word)}
+    return {"joined_before": F.substring(x["before"], -1, 1).rlike(word), "joined_after": F.substring(x["after"], 1, 1).rlike(word)}
 
 
 def estimate(rows: Sequence[tuple[int, tuple[int, ...], int]], rounds: int = 50) -> dict[tuple[int, tuple[int, ...]], float]:
@@ -209,8 +243,10 @@ def names() -> list[str]:
 def train(docs: DataFrame, text: str = "text") -> dict[str, float]:
     """Weights of the span classifier, from all candidates of all rows.
 
-    What comes to the driver are counts by kind, votes and marks: at most 5 * 3^5 * 4
-    rows whatever the input. Without candidates all weights are 0.
+    What comes to the driver are counts by kind, votes and marks: at most 6 * 3^5 * 4
+    rows whatever the input. The classifier takes each such pattern with the square root
+    of its count as weight, so that a frequent one doesn't drown those that are rare; the
+    estimates before it count every candidate. Without candidates all weights are 0.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     every = docs.select(F.explode(F.concat(*[found(t, *p) for p in (*BASE, *MORE)])).alias("x"))
