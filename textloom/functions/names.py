@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 from textloom.functions.determinism import pick
 
-#: Fixed values of the annotation rules.
-TITLE_PARTS = ("dr", "phil", "univ", "medic", "dres", "med", "dipl", "psych", "dent", "vet", "habil", "mult", "rer", "päd", "prof")
+#: Fixed values of the annotation rules: parts of titles, salutations, words that start a last name.
+TITLE_PARTS = ("dr", "phil", "univ", "medic", "dres", "med", "dipl", "psych", "dent", "vet", "habil", "mult", "rer", "päd", "nat")
 SALUTATIONS = ("Herr", "Frau", "Hr.", "Fr.")
-PREPOSITIONS = ("ab", "an", "auf", "aus", "bei", "bis", "durch", "für", "gegen", "ohne", "um", "unter", "über", "vor", "von", "vom", "van", "zu", "zum", "zur")
-ARTICLES = ("der", "die", "das", "den", "dem", "des", "de", "del", "la", "le", "du")
+ARTICLES = (
+    "der", "die", "das", "den", "dem", "des", "ein", "eine", "einen", "einem", "einer", "eines", "el", "la", "los", "las", "le", "les", "l",
+)
+PREPOSITIONS = (
+    "ab", "an", "auf", "aus", "bei", "bis", "durch", "für", "gegen", "ohne", "um", "unter", "über", "vor", "hinter", "neben", "zwischen", "nach", "mit", "von", "zu", "gegenüber",
+    "während", "trotz", "wegen", "statt", "gemäß", "entlang", "seit", "laut", "vom", "zur", "zum", "beim", "van", "des", "de", "del", "dos",
+)
 PUNCTUATION = r"^[!-/:-@\[-`{-~]+$"
 
 

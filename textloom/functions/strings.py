@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions.determinism import number
 
@@ -14,7 +17,8 @@ from textloom.functions.determinism import number
 MOBILE_PREFIXES = (
     "151", "152", "155", "156", "157", "159", "160", "162", "163", "170", "171", "172", "173", "174", "175", "176", "177", "178", "179",
 )
-PHONE = r"^\s*(?:((?:\+|00)\d{1,3}|0)[\s./-]*)?\(?(\d{1,5})\)?[\s./-]*(\d[\d\s./-]*)\s*$"
+#: What may stand between the groups of a phone number.
+BETWEEN = " \t\n\r\f\x0b./-"
 UPPER, LOWER, DIGITS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
 
@@ -56,10 +60,40 @@ def character_pattern(text: Column) -> Column:
 
 
 def split_phone(text: Column) -> Column:
-    """Struct of prefix (null without), area, subscriber; null where the text is no phone number."""
-    prefix = F.nullif(F.regexp_extract(text, PHONE, 1), F.lit(""))
-    subscriber = F.regexp_replace(F.regexp_extract(text, PHONE, 3), r"\D", "")
-    return F.when(text.rlike(PHONE), F.struct(prefix.alias("prefix"), F.regexp_extract(text, PHONE, 2).alias("area"), subscriber.alias("subscriber")))
+    """Struct of prefix (null without), area, subscriber; null where the text is no phone number.
+
+    The prefix is ``+`` or ``00`` with up to three digits, or a single ``0``; the area has
+    up to five digits and may stand in brackets; the subscriber is what digits follow. The
+    prefix and the area take as many digits as they may, but leave one each for what comes
+    after them.
+    """
+    body = F.btrim(text, F.lit(BETWEEN))
+    run = lambda t: F.regexp_extract(t, "^[0-9]*", 0)
+    count = lambda t: F.length(F.regexp_replace(t, "[^0-9]", ""))
+    tail = lambda t, n: F.substring(t, n + 1, F.length(t))
+
+    def rest_of(after: Column) -> Column:
+        """Area and subscriber of what stands after a prefix; null if it is none."""
+        open_ = F.ltrim(after, F.lit(BETWEEN))
+        digits = F.when(open_.startswith("("), tail(open_, F.lit(1))).otherwise(open_)
+        taken = F.least(F.lit(5), F.length(run(digits)), count(digits) - 1)
+        close = tail(digits, taken)
+        subscriber = F.ltrim(F.when(close.startswith(")"), tail(close, F.lit(1))).otherwise(close), F.lit(BETWEEN))
+        good = (taken > 0) & subscriber.rlike("^[0-9]") & (F.translate(subscriber, "0123456789" + BETWEEN, "") == "")
+        return F.when(good, F.struct(F.substring(digits, F.lit(1), taken).alias("area"), F.regexp_replace(subscriber, "[^0-9]", "").alias("subscriber")))
+
+    def international(sign: str) -> tuple[Column, Column]:
+        after = tail(body, F.lit(len(sign)))
+        taken = F.least(F.lit(3), F.length(run(after)), count(after) - 2)
+        return F.when(body.startswith(sign) & (taken > 0), rest_of(tail(after, taken))), F.substring(body, F.lit(1), taken + len(sign))
+
+    plus, by_plus = international("+")
+    zeros, by_zeros = international("00")
+    trunk = F.when(body.startswith("0"), rest_of(tail(body, F.lit(1))))
+    plain = rest_of(body)
+    none = F.lit(None).cast("string")
+    made = lambda prefix, x: F.when(x.isNotNull(), F.struct(prefix.alias("prefix"), x["area"].alias("area"), x["subscriber"].alias("subscriber")))
+    return F.coalesce(made(by_plus, plus), made(by_zeros, zeros), made(F.lit("0"), trunk), made(none, plain))
 
 
 def phone_surrogate(parts: Column, area: Column, seed: str) -> Column:
@@ -93,9 +127,21 @@ def strip_prefix(code: Column, prefix: str) -> Column:
     return F.when(code.startswith(full), F.substring(code, F.lit(len(full) + 1), F.length(code))).otherwise(code)
 
 
+@F.pandas_udf(T.StringType())
+def _composed(text: pd.Series) -> pd.Series:
+    """Letters with their marks in one character, as far as there is one."""
+    return text.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+
+
+def composed(text: Column) -> Column:
+    """Normal form C, of texts with marks that stand apart or the Kelvin sign; others go through no Python."""
+    apart = text.rlike("[\\p{M}\u212a]")
+    return F.when(apart, _composed(F.when(apart, text))).otherwise(text)
+
+
 def normalise(text: Column) -> Column:
-    """Lower-case letters, digits and a few signs with single spaces; line ends are spaces, control characters go."""
-    flat = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "﻿", ""), r"[\r\n]+", " "), r"[\x00-\x1F\x7F]", "")
+    """Lower-case letters, digits and a few signs with single spaces, in normal form C; line ends are spaces, control characters go."""
+    flat = F.regexp_replace(F.regexp_replace(F.regexp_replace(composed(text), "\ufeff", ""), r"[\r\n]+", " "), r"[\x00-\x1F\x7F]", "")
     kept = F.regexp_replace(flat, r"[^A-Za-z0-9ÄÖÜäöüßẞ .,&/()\-]", "")
     return F.trim(F.regexp_replace(F.lower(kept), " +", " "))
 

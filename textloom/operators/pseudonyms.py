@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from textloom.functions import dates, strings
 from textloom.functions.determinism import key6, number
+from textloom.model import fresh
 from textloom.operators.spans import rewrite
+from textloom.sources.scratch import durable
 
 #: Kinds of which the keyed mode shows the text itself, and those of which it shows the quarter.
 SHOWN, QUARTERED = ("PROFESSION", "AGE", "DATE"), ("DATE_BIRTH", "DATE_DEATH")
@@ -54,6 +56,7 @@ def replacements(spans: DataFrame, mode: str, salt: str = "", key: str = "doc",
     if mode == "entity":
         return spans.withColumn("replacement", strings.mask_entity(kind))
     if mode == "keyed":
+        spans = durable(spans)  # they are used twice, and finding them is what costs
         keys = assign_keys(spans, salt, key).select(F.col(key).alias("_doc"), F.col("kind").alias("_kind"), F.col("original").alias("_original"), "surrogate")
         joined = spans.join(keys, (spans[key] == keys["_doc"]) & (F.coalesce(kind, F.lit("None")) == keys["_kind"]) & (text == keys["_original"]), "left")
         content = F.when(kind.isin(*SHOWN), text).otherwise(F.col("surrogate"))
@@ -74,10 +77,11 @@ def apply(docs: DataFrame, spans: DataFrame, key: str = "doc", text: str = "text
 
     A document's spans are gathered to it alone; documents without spans stay as they are.
     """
-    lists = spans.groupBy(F.col(key).alias("_doc")).agg(F.collect_list(F.struct(F.col("begin").cast("int").alias("begin"), F.col("end").cast("int").alias("end"), "replacement")).alias("_spans"))
-    joined = docs.join(lists, docs[key] == lists["_doc"], "left")
-    made = joined.withColumn("_new", rewrite(F.col(text), F.col("_spans")))
-    return made.select(*[F.col("_new.text").alias(text) if c == text else docs[c] for c in docs.columns], F.col("_new.spans").alias("moved"))
+    doc_, spans_, new_ = (fresh(docs.columns, c) for c in ("_doc", "_spans", "_new"))
+    lists = spans.groupBy(F.col(key).alias(doc_)).agg(F.collect_list(F.struct(F.col("begin").cast("int").alias("begin"), F.col("end").cast("int").alias("end"), "replacement")).alias(spans_))
+    joined = docs.join(lists, docs[key] == lists[doc_], "left")
+    made = joined.withColumn(new_, rewrite(F.col(text), F.col(spans_)))
+    return made.select(*[F.col(f"{new_}.text").alias(text) if c == text else docs[c] for c in docs.columns], F.col(f"{new_}.spans").alias("moved"))
 
 
 def name_seed(scope: str, doc: Column, run: str) -> Column:

@@ -10,29 +10,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from textloom.functions.arrays import folds, let, running
+
 
 def covered(text: Column, begin: Column, end: Column) -> Column:
     return F.substring(text, (begin + 1).cast("int"), (end - begin).cast("int"))
 
 
 def matches(text: Column, pattern: str, kind: str) -> Column:
-    """Array of (begin, end, kind, text) of a pattern's matches in a text.
+    """Array of (begin, end, kind, text) of a pattern's matches in a text, null for null.
 
     Places come from the lengths of what stands between the matches, as Spark's own
-    functions for pattern places count UTF-16 units.
+    functions for pattern places count UTF-16 units; the cost is in proportion to the text.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<begin:int,end:int,kind:string,text:string>>").alias("out"))
+    none = F.array().cast("array<struct<begin:int,end:int,kind:string,text:string>>")
 
-    def step(a: Column, x: Column) -> Column:
-        begin = a["at"] + F.length(x["g"])
-        end = begin + F.length(x["m"])
-        one = F.struct(begin.alias("begin"), end.alias("end"), F.lit(kind).alias("kind"), x["m"].alias("text"))
-        return F.struct(end.alias("at"), F.concat(a["out"], F.array(one)).alias("out"))
+    def placed(pairs: Column) -> Column:
+        ends = running(F.transform(pairs, lambda x: (F.length(x["g"]) + F.length(x["m"])).cast("bigint")))
+        return F.zip_with(pairs, ends, lambda x, e: F.struct((e - F.length(x["m"])).cast("int").alias("begin"), e.cast("int").alias("end"), F.lit(kind).alias("kind"), x["m"].alias("text")))
 
     pairs = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(m.alias("m"), g.alias("g")))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, zero, step, lambda a: a["out"])).otherwise(zero["out"])
+    return F.when(text.rlike(pattern), let(pairs, placed)).otherwise(none)
 
 
 def extract(docs: DataFrame, patterns: Sequence[tuple[str, str]], key: str = "doc", text: str = "text") -> DataFrame:
@@ -77,34 +77,54 @@ def preceding(annotations: DataFrame, tokens: DataFrame, key: str = "doc", k: in
 
 def outermost(spans: Column) -> Column:
     """Sorted by begin, longest first, without spans that begin within one kept before."""
-    ordered = F.array_sort(spans, lambda a, b: F.when(a["begin"] != b["begin"], a["begin"] - b["begin"]).otherwise(b["end"] - a["end"]))
-    zero = F.slice(ordered, 1, 0)
-    keep = lambda out, x: F.when((F.size(out) == 0) | (F.try_element_at(out, F.lit(-1))["end"] <= x["begin"]), F.concat(out, F.array(x))).otherwise(out)
-    return F.aggregate(ordered, zero, keep)
+
+    def kept(ordered: Column) -> Column:
+        # a character for each span tells whether it stays
+        def part(a: Column, values: Column) -> Column:
+            zero = F.struct(a["end"].alias("end"), F.lit("").alias("marks"))
+            stays = lambda s, x: x["begin"] >= s["end"]
+            step = lambda s, x: F.struct(F.when(stays(s, x), x["end"].cast("bigint")).otherwise(s["end"]).alias("end"), F.concat(s["marks"], F.when(stays(s, x), "1").otherwise("0")).alias("marks"))
+            return F.aggregate(values, zero, step, lambda s: F.struct(s["end"].alias("end"), F.concat(a["marks"], s["marks"]).alias("marks")))
+
+        start = F.struct(F.lit(-(1 << 62)).cast("bigint").alias("end"), F.lit("").alias("marks"))
+        marks = F.aggregate(folds(ordered), start, part, lambda a: F.split(a["marks"], ""))
+        both = F.zip_with(ordered, marks, lambda x, m: F.struct(x.alias("x"), m.alias("m")))
+        return F.when(F.size(ordered) > 0, F.transform(F.filter(both, lambda z: z["m"] == "1"), lambda z: z["x"])).otherwise(ordered)
+
+    keyed = F.array_sort(F.transform(spans, lambda x: F.struct(x["begin"].cast("bigint").alias("b"), (-x["end"]).cast("bigint").alias("e"), x.alias("x"))))
+    return let(F.transform(keyed, lambda k: k["x"]), kept)
 
 
 def rewrite(text: Column, spans: Column) -> Column:
     """Struct of the text with every span replaced, and the spans with their new places.
 
     ``spans`` is an array of structs with begin, end and replacement; of overlapping ones
-    the outermost counts. Null or no spans leave the text as it is.
+    the outermost counts, of equal ones the least replacement. Null or no spans leave the
+    text as it is. The text is cut fold by fold, so the cost is in proportion to it.
     """
-    chosen = outermost(spans)
     made = "array<struct<begin:int,end:int,old_begin:int,old_end:int>>"
-    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("length"), F.array().cast("array<string>").alias("parts"), F.array().cast(made).alias("moved"))
-
-    def step(a: Column, x: Column) -> Column:
-        begin = a["length"] + x["begin"] - a["at"]
-        end = begin + F.length(x["replacement"])
-        parts = F.concat(a["parts"], F.array(covered(text, a["at"], x["begin"]), x["replacement"]))
-        one = F.struct(begin.cast("int").alias("begin"), end.cast("int").alias("end"), x["begin"].cast("int").alias("old_begin"), x["end"].cast("int").alias("old_end"))
-        return F.struct(x["end"].cast("int").alias("at"), end.cast("int").alias("length"), parts.alias("parts"), F.concat(a["moved"], F.array(one)).alias("moved"))
-
-    def finish(a: Column) -> Column:
-        return F.struct(F.concat(F.array_join(a["parts"], ""), covered(text, a["at"], F.length(text))).alias("text"), a["moved"].alias("spans"))
 
-    whole = F.struct(text.alias("text"), F.array().cast(made).alias("spans"))
-    return F.when(F.size(F.coalesce(spans, F.slice(spans, 1, 0))) > 0, F.aggregate(chosen, zero, step, finish)).otherwise(whole)
+    def at(chosen: Column) -> Column:
+        ends = F.transform(chosen, lambda x: x["end"].cast("int"))
+        before = F.concat(F.array(F.lit(0)), F.slice(ends, F.lit(1), F.size(ends) - 1))
+        pairs = F.zip_with(chosen, before, lambda x, p: F.struct(p.alias("from"), x["begin"].cast("int").alias("begin"), x["end"].cast("int").alias("end"), x["replacement"].alias("new")))
+        return let(pairs, new)
+
+    def new(pairs: Column) -> Column:
+        def part(values: Column) -> Column:
+            first = F.element_at(values, 1)["from"]
+            last = F.element_at(values, -1)["end"]
+            piece = lambda whole: F.array_join(F.transform(values, lambda x: F.concat(covered(whole, x["from"] - first, x["begin"] - first), x["new"])), "")
+            return let(covered(text, first, last), piece)
+
+        tail = F.element_at(pairs, -1)["end"]
+        whole = F.concat(F.array_join(F.transform(folds(pairs), part), ""), covered(text, tail, F.length(text)))
+        grown = running(F.transform(pairs, lambda x: (F.length(x["new"]) - (x["end"] - x["begin"])).cast("bigint")))
+        places = F.zip_with(pairs, grown, lambda x, d: F.struct((x["end"] + d - F.length(x["new"])).cast("int").alias("begin"), (x["end"] + d).cast("int").alias("end"), x["begin"].alias("old_begin"), x["end"].alias("old_end")))
+        return F.struct(whole.alias("text"), places.cast(made).alias("spans"))
+
+    unchanged = F.struct(text.alias("text"), F.array().cast(made).alias("spans"))
+    return F.when(F.size(F.coalesce(spans, F.slice(spans, 1, 0))) > 0, let(outermost(spans), at)).otherwise(unchanged)
 
 
 def shifted(offset: Column, moved: Column) -> Column:

@@ -328,9 +328,8 @@ def closure_children(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT p_partkey, regexp_matches(p_name || ' (' || lower(p_type) || ')', '(?i)\\((?:standard\\s+.*|promo\\s+.*)\\)') AS tagged FROM part")
 def tag_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     fsn = F.format_string("%s (%s)", "p_name", F.lower("p_type"))
-    types = [r[0] for r in read(spark, sf_dir, "part").select(F.lower("p_type")).distinct().collect()]
-    wanted = [t for t in types if t.startswith(("standard ", "promo "))] or ["none"]
-    return read(spark, sf_dir, "part").select("p_partkey", strings.has_tag(fsn, sorted(wanted)).alias("tagged"))
+    wanted = [f"{a} {b} {c}" for a in ("promo", "standard") for b in ("anodized", "brushed", "burnished", "plated", "polished") for c in ("brass", "copper", "nickel", "steel", "tin")]
+    return read(spark, sf_dir, "part").select("p_partkey", strings.has_tag(fsn, wanted).alias("tagged"))
 
 
 @query("SELECT page_id, CASE WHEN starts_with(url, 'https://') THEN substr(url, 9) ELSE url END AS code FROM pages")
@@ -486,11 +485,12 @@ def candidate_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     r"""
-    SELECT doc_id, md5(trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), '[\r\n]+', ' ', 'g'), '[\x00-\x1F\x7F]', '', 'g'), '[^A-Za-z0-9ÄÖÜäöüßẞ .,&/()\-]', '', 'g')), ' +', ' ', 'g'))) AS digest FROM documents
+    SELECT doc_id, md5(trim(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(replace(nfc_normalize(coalesce(text, '') || CASE WHEN doc_id % 8 = 0 THEN ' A' || chr(776) || 'rger e' || chr(769) || chr(8490) ELSE '' END), chr(65279), ''), '[\r\n]+', ' ', 'g'), '[\x00-\x1F\x7F]', '', 'g'), '[^A-Za-z0-9ÄÖÜäöüßẞ .,&/()\-]', '', 'g')), ' +', ' ', 'g'))) AS digest FROM documents
     """
 )
 def text_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = strings.normalise(F.coalesce("text", F.lit("")))
+    apart = F.when(F.col("doc_id") % 8 == 0, " A\u0308rger e\u0301\u212a").otherwise("")  # marks that stand apart
+    text = strings.normalise(F.concat(F.coalesce("text", F.lit("")), apart))
     return read(spark, sf_dir, "documents").select("doc_id", F.md5(text.cast("binary")).alias("digest"))
 
 
@@ -530,9 +530,8 @@ def _phones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found(spark, sf_dir).where("kind = 'CONTACT_PHONE'").select("text").distinct()
 
 
-PARTS = r"""p AS (SELECT DISTINCT txt AS text, regexp_extract(txt, '^\s*(?:((?:\+|00)\d{1,3}|0)[\s./-]*)?\(?(\d{1,5})\)?[\s./-]*(\d[\d\s./-]*)\s*$', 1) AS prefix,
-  regexp_extract(txt, '^\s*(?:((?:\+|00)\d{1,3}|0)[\s./-]*)?\(?(\d{1,5})\)?[\s./-]*(\d[\d\s./-]*)\s*$', 2) AS area,
-  regexp_replace(regexp_extract(txt, '^\s*(?:((?:\+|00)\d{1,3}|0)[\s./-]*)?\(?(\d{1,5})\)?[\s./-]*(\d[\d\s./-]*)\s*$', 3), '\D', '', 'g') AS subscriber FROM spans WHERE kind = 'CONTACT_PHONE')"""
+#: Every phone number of the tables has a plus sign, an area in brackets, and digits with a hyphen behind it.
+PARTS = """p AS (SELECT DISTINCT txt AS text, trim(split_part(txt, '(', 1)) AS prefix, split_part(split_part(txt, '(', 2), ')', 1) AS area, replace(trim(split_part(txt, ')', 2)), '-', '') AS subscriber FROM spans WHERE kind = 'CONTACT_PHONE')"""
 
 
 @query(f"{sql.SPANS}, {PARTS} SELECT text, nullif(prefix, '') AS prefix, area, subscriber FROM p")
@@ -570,10 +569,14 @@ def url_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first words of each document as a name, the next ones as what stands before it."""
-    words = F.filter(F.split(F.substring(F.coalesce("text", F.lit("")), 1, 400), r"[^A-Za-z]+"), lambda w: w != "")
-    name = F.array_join(F.slice(words, F.lit(1), (F.col("doc_id") % 4 + 1).cast("int")), " ")
-    before = F.concat(F.slice(words, 6, 2), F.array(F.element_at(F.array(*map(F.lit, ("Herr", "Frau", "Dr.", "von"))), (F.col("doc_id") % 4 + 1).cast("int"))))
-    return read(spark, sf_dir, "documents").select("doc_id", name.alias("name"), before.alias("before"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[^A-Za-z]+"), lambda w: w != "")
+    one = lambda values, n: F.element_at(F.array(*map(F.lit, values)), (n + 1).cast("int"))
+    rows = read(spark, sf_dir, "documents").select("doc_id", words.alias("w"))
+    i, w = F.col("doc_id"), F.col("w")
+    parts = F.concat(F.slice(w, F.lit(1), (i % 4 + 1).cast("int")), F.array(one(("hinter", "nach", "los", "van", "und", "zwischen", "la", ""), i % 8)), F.slice(w, 5, 1))
+    more = F.split(one(("rer. nat.", "", "med.", "Prof."), i % 5 % 4), " ")
+    before = F.concat(F.slice(w, 6, 2), F.array(one(("Herr", "Frau", "Dr.", "von"), i % 4)), F.filter(more, lambda x: x != ""))
+    return rows.select("doc_id", F.array_join(F.filter(parts, lambda x: x != ""), " ").alias("name"), before.alias("before"))
 
 
 @query(f"{sql.NAMES} SELECT doc_id, {sql.CLASSIFY} AS parts FROM n")
@@ -583,7 +586,7 @@ def name_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""{sql.NAMES}, f AS (SELECT doc_id, list_filter(list_reverse(before), lambda w: NOT (regexp_matches(lower(w), '{"|".join(names.TITLE_PARTS)}') OR regexp_matches(w, '^[!-/:-@\\[-`{{-~]+$')) OR w IN ('Herr', 'Frau', 'Hr.', 'Fr.'))[1] AS w FROM n)
+    f"""{sql.NAMES}, f AS (SELECT doc_id, list_filter(list_reverse(before), lambda w: NOT ({sql.IS_TITLE} OR regexp_matches(w, '^[!-/:-@\\[-`{{-~]+$')) OR w IN ('Herr', 'Frau', 'Hr.', 'Fr.'))[1] AS w FROM n)
     SELECT doc_id, CASE WHEN w IN ('Herr', 'Hr.') THEN 'male' WHEN w IN ('Frau', 'Fr.') THEN 'female' WHEN contains(w, 'in') THEN 'female' ELSE 'unknown' END AS gender FROM f"""
 )
 def gender_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -701,9 +704,9 @@ def internal_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "nation").select("n_nationkey", F.array_join(found, ",").alias("urls"))
 
 
-@query("SELECT doc_id, CASE WHEN lang IN ('en', 'de', 'pt') THEN lang ELSE 'de' END AS lang FROM documents WHERE length(text) <= 5000")
+@query("SELECT doc_id, CASE WHEN lang IN ('en', 'de', 'pt') THEN lang ELSE 'de' END AS lang FROM documents WHERE length(text) <= 150000")
 def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parsing.prepared(read(spark, sf_dir, "documents"), 5000).select("doc_id", "lang")
+    return parsing.prepared(read(spark, sf_dir, "documents")).select("doc_id", "lang")
 
 
 @query(

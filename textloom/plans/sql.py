@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from textloom.functions.names import ARTICLES, PREPOSITIONS
-
 PATTERNS = (
     ("CONTACT_EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]+"),
     ("CONTACT_PHONE", r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}"),
@@ -111,10 +109,16 @@ m AS (SELECT query, item, n, x, min(levenshtein(x, y) / greatest(length(x), leng
 w AS (SELECT query, item, x, count(*) AS times FROM x GROUP BY query, item, x)
 SELECT m.query, m.item, round(1 - sum(d * times) / max(n), 6) AS score FROM m JOIN w ON m.query = w.query AND m.item = w.item AND m.x = w.x GROUP BY m.query, m.item"""
 
-NAMES = """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(substr(coalesce(text, ''), 1, 400), '[^A-Za-z]+'), lambda x: x <> '') AS w FROM documents),
-n AS (SELECT doc_id, w[1:doc_id % 4 + 1] AS ws, array_to_string(w[1:doc_id % 4 + 1], ' ') AS name, list_concat(w[6:7], [list_extract(['Herr', 'Frau', 'Dr.', 'von'], doc_id % 4 + 1)]) AS before FROM w)"""
+NAMES = """WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[^A-Za-z]+'), lambda x: x <> '') AS w FROM documents),
+p AS (SELECT doc_id, w, list_extract(['hinter', 'nach', 'los', 'van', 'und', 'zwischen', 'la', ''], doc_id % 8 + 1) AS p FROM w),
+n AS (SELECT doc_id, list_filter(list_concat(list_concat(w[1:doc_id % 4 + 1], [p]), w[5:5]), lambda x: x <> '') AS ws, array_to_string(list_filter(list_concat(list_concat(w[1:doc_id % 4 + 1], [p]), w[5:5]), lambda x: x <> ''), ' ') AS name,
+  list_concat(list_concat(w[6:7], [list_extract(['Herr', 'Frau', 'Dr.', 'von'], doc_id % 4 + 1)]), list_extract([['rer.', 'nat.'], [], ['med.'], ['Prof.']], doc_id % 5 % 4 + 1)) AS before FROM p)"""
 
-_PARTICLES = ", ".join(quoted(w) for w in (*PREPOSITIONS, *ARTICLES))
+#: Fixed values of the annotation rules, written out here for the independent engine: words that start a last name, parts of titles.
+_PARTICLES = """'ab', 'an', 'auf', 'aus', 'bei', 'bis', 'durch', 'für', 'gegen', 'ohne', 'um', 'unter', 'über', 'vor', 'hinter', 'neben', 'zwischen', 'nach', 'mit', 'von', 'zu', 'gegenüber',
+  'während', 'trotz', 'wegen', 'statt', 'gemäß', 'entlang', 'seit', 'laut', 'vom', 'zur', 'zum', 'beim', 'van', 'des', 'de', 'del', 'dos', 'der', 'die', 'das', 'den', 'dem',
+  'ein', 'eine', 'einen', 'einem', 'einer', 'eines', 'el', 'la', 'los', 'las', 'le', 'les', 'l'"""
+IS_TITLE = "(" + " OR ".join(f"contains(lower(w), '{t}')" for t in "dr phil univ medic dres med dipl psych dent vet habil mult rer päd nat".split()) + ")"
 _START = f"coalesce(nullif(list_position(list_transform(ws, lambda x: lower(x) IN ({_PARTICLES})), true), 0), len(ws))"
 CLASSIFY = f"""CASE WHEN len(ws) = 0 THEN '' WHEN len(ws) = 1 THEN CASE WHEN list_has_any(before, ['Herr', 'Frau']) THEN 'LN:' ELSE 'FN:' END || ws[1]
   ELSE array_to_string(list_concat(list_transform(ws[1:{_START} - 1], lambda x: 'FN:' || x), ['LN:' || array_to_string(ws[{_START}:], ' ')]), '|') END"""
