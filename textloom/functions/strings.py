@@ -11,6 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.functions.arrays import let
 from textloom.functions.determinism import number
 
 #: German mobile network prefixes.
@@ -67,39 +68,38 @@ def split_phone(text: Column) -> Column:
     prefix and the area take as many digits as they may, but leave one each for what comes
     after them.
     """
-    body = F.btrim(text, F.lit(BETWEEN))
     run = lambda t: F.regexp_extract(t, "^[0-9]*", 0)
     count = lambda t: F.length(F.regexp_replace(t, "[^0-9]", ""))
     tail = lambda t, n: F.substring(t, n + 1, F.length(t))
+    opened = lambda t: F.when(t.startswith("("), tail(t, F.lit(1))).otherwise(t)
+    closed = lambda t: F.ltrim(F.when(t.startswith(")"), tail(t, F.lit(1))).otherwise(t), F.lit(BETWEEN))
 
-    def rest_of(after: Column) -> Column:
-        """Area and subscriber of what stands after a prefix; null if it is none."""
-        open_ = F.ltrim(after, F.lit(BETWEEN))
-        digits = F.when(open_.startswith("("), tail(open_, F.lit(1))).otherwise(open_)
-        taken = F.least(F.lit(5), F.length(run(digits)), count(digits) - 1)
-        close = tail(digits, taken)
-        subscriber = F.ltrim(F.when(close.startswith(")"), tail(close, F.lit(1))).otherwise(close), F.lit(BETWEEN))
-        good = (taken > 0) & subscriber.rlike("^[0-9]") & (F.translate(subscriber, "0123456789" + BETWEEN, "") == "")
-        return F.when(good, F.struct(F.substring(digits, F.lit(1), taken).alias("area"), F.regexp_replace(subscriber, "[^0-9]", "").alias("subscriber")))
-
-    def international(sign: str) -> tuple[Column, Column]:
+    def rest_of(prefix: Column, after: Column) -> Column:
+        """The parts, of what stands after a prefix; null if it is none."""
+
+        def parts(digits: Column, taken: Column, subscriber: Column) -> Column:
+            good = (taken > 0) & subscriber.rlike("^[0-9]") & (F.translate(subscriber, "0123456789" + BETWEEN, "") == "")
+            return F.when(good, F.struct(prefix.alias("prefix"), F.substring(digits, F.lit(1), taken).alias("area"), F.regexp_replace(subscriber, "[^0-9]", "").alias("subscriber")))
+
+        taken = lambda digits: F.least(F.lit(5), F.length(run(digits)), count(digits) - 1)
+        return let(let(F.ltrim(after, F.lit(BETWEEN)), opened), lambda d: let(taken(d), lambda n: let(closed(tail(d, n)), lambda rest: parts(d, n, rest))))
+
+    def international(body: Column, sign: str) -> Column:
         after = tail(body, F.lit(len(sign)))
-        taken = F.least(F.lit(3), F.length(run(after)), count(after) - 2)
-        return F.when(body.startswith(sign) & (taken > 0), rest_of(tail(after, taken))), F.substring(body, F.lit(1), taken + len(sign))
+        taken = F.when(body.startswith(sign), F.least(F.lit(3), F.length(run(after)), count(after) - 2)).otherwise(0)
+        return let(taken, lambda n: F.when(n > 0, rest_of(F.substring(body, F.lit(1), n + len(sign)), tail(body, n + len(sign)))))
+
+    def split(body: Column) -> Column:
+        trunk = F.when(body.startswith("0"), rest_of(F.lit("0"), tail(body, F.lit(1))))
+        return F.coalesce(international(body, "+"), international(body, "00"), trunk, rest_of(F.lit(None).cast("string"), body))
 
-    plus, by_plus = international("+")
-    zeros, by_zeros = international("00")
-    trunk = F.when(body.startswith("0"), rest_of(tail(body, F.lit(1))))
-    plain = rest_of(body)
-    none = F.lit(None).cast("string")
-    made = lambda prefix, x: F.when(x.isNotNull(), F.struct(prefix.alias("prefix"), x["area"].alias("area"), x["subscriber"].alias("subscriber")))
-    return F.coalesce(made(by_plus, plus), made(by_zeros, zeros), made(F.lit("0"), trunk), made(none, plain))
+    return let(F.btrim(text, F.lit(BETWEEN)), split)
 
 
 def phone_surrogate(parts: Column, area: Column, seed: str) -> Column:
     """Prefix, new area (a mobile prefix where there is none), scrambled subscriber; no separators."""
-    mobile = F.element_at(F.array(*map(F.lit, MOBILE_PREFIXES)), (number(F.lit(seed), parts["area"]) % len(MOBILE_PREFIXES) + 1).cast("int"))
-    return F.concat_ws("", parts["prefix"], F.coalesce(area, mobile), scramble(parts["subscriber"], seed))
+    mobile = lambda x: F.element_at(F.array(*map(F.lit, MOBILE_PREFIXES)), (number(F.lit(seed), x["area"]) % len(MOBILE_PREFIXES) + 1).cast("int"))
+    return let(parts, lambda x: F.concat_ws("", x["prefix"], F.coalesce(area, mobile(x)), scramble(x["subscriber"], seed)))
 
 
 def contact_surrogate(text: Column, entries: Column, kept: Sequence[str], seed: str) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from textloom.functions import dates, strings
+from textloom.functions import dates, names, strings
+from textloom.functions.arrays import let
 from textloom.functions.determinism import key6, number
 from textloom.model import fresh
 from textloom.operators.spans import rewrite
@@ -98,3 +101,32 @@ def scrambled(spans: DataFrame, run: str) -> DataFrame:
 def shifted_days(run: str, doc: Column, most: int = 365) -> Column:
     """A shift of 1 to ``most`` days that is a document's own."""
     return (number(F.lit(run), doc.cast("string")) % most + 1).cast("int")
+
+
+def fictive(spans: DataFrame, run: str, female: Column, male: Column, family: Column, titles: Sequence[Sequence[str]], entries: Column | None = None, areas: Column | None = None) -> DataFrame:
+    """(kind, text, surrogate) of each distinct text of the kinds that have a rule: what the surrogate mode takes.
+
+    Names become names of the pools, titles others of their group, identifiers a scramble,
+    mail addresses and URLs their parts replaced (by ``entries``, or scrambled), phone and
+    fax numbers another area (of the map ``areas``, or a mobile one) and scrambled digits.
+    Other kinds, and numbers that aren't understood, have no row. Texts are collected by
+    kind, so one text has one surrogate in a run. Null kinds and texts have no row.
+    """
+    kind, text = F.col("kind"), F.col("text")
+    words = F.create_map().cast("map<string,string>") if entries is None else entries
+    area = lambda parts: F.lit(None).cast("string") if areas is None else F.try_element_at(areas, parts["area"])
+    phone = let(strings.split_phone(text), lambda parts: F.when(parts.isNotNull(), strings.phone_surrogate(parts, area(parts), run)))
+    gender = names.gender(text, F.array().cast("array<string>"))
+    person = let(names.classify(text), lambda parts: let(gender, lambda g: names.surrogate(parts, g, female, male, family, run)))
+    rules = (
+        (kind == "NAME_TITLE", names.title_surrogate(text, titles, run)),
+        (kind == "NAME_USERNAME", strings.scramble(text, run)),
+        (kind.startswith("NAME_"), person),
+        (kind == "ID", strings.scramble(text, run)),
+        (kind == "CONTACT_EMAIL", strings.contact_surrogate(text, words, strings.MAIL_KEPT, run)),
+        (kind == "CONTACT_URL", strings.contact_surrogate(text, words, strings.URL_KEPT, run)),
+        (kind.isin("CONTACT_PHONE", "CONTACT_FAX"), phone),
+    )
+    rule = F.coalesce(*[F.when(test, made) for test, made in rules])
+    once = spans.select("kind", "text").distinct()
+    return once.withColumn("surrogate", rule).where("surrogate IS NOT NULL")

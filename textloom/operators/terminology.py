@@ -57,6 +57,16 @@ def write_list(codes: DataFrame, path: str, list_type: str, revision: int = 0, o
     codes.select("code", "fsn").orderBy("code").write.mode("overwrite" if overwrite else "errorifexists").parquet(folder)
 
 
+def next_revision(spark: SparkSession, path: str, list_type: str) -> int:
+    """The number after a list's last revision; 0 if it has none yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/list_type={list_type}")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return 0
+    found = [x.getPath().getName().removeprefix("revision=") for x in files.listStatus(folder)]
+    return max((int(n) for n in found if n.isdigit()), default=-1) + 1
+
+
 def read_list(spark: SparkSession, path: str, list_type: str, revision: int = 0) -> DataFrame:
     return spark.read.parquet(path).where((F.col("list_type") == list_type) & (F.col("revision") == revision)).select("code", "fsn")
 

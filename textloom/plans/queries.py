@@ -731,3 +731,6 @@ def named_in_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def collected_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("place"), F.col("c_mktsegment").alias("postcode"))
     return parsing.collected_codes(rows).select("place", F.array_join("codes", ",").alias("codes"))
+
+
+from textloom.plans import source_queries  # noqa: E402, F401  registers its queries with those above

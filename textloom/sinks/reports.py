@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.operators import quality as checks
+
 #: A report is for reading; what is larger belongs in a table.
 MOST_ROWS = 100_000
 
@@ -34,6 +37,17 @@ def quality(counts: DataFrame, verdicts: DataFrame, errors: DataFrame, key: str
     return {"quality_control.json": json.dumps(body, sort_keys=True, ensure_ascii=False, indent=1), "quality_control.md": "\n".join(text) + "\n"}
 
 
+def quality_tables(spans: DataFrame, folder: str, kinds: Sequence[str], key: str = "doc") -> None:
+    """The quality report as three CSV tables with a header, of any size, which Spark writes.
+
+    ``counts``: documents by kind; ``verdicts``: which documents are part of the corpus;
+    ``errors``: the spans without a kind or of kind OTHER.
+    """
+    tables = {"counts": checks.pivot(spans, kinds, key), "verdicts": checks.verdict(spans, key), "errors": checks.errors(spans, key)}
+    for name, rows in tables.items():
+        rows.write.mode("errorifexists").option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+
+
 def audit(faults: DataFrame) -> str:
     """The audit's Markdown: for each list and annotator a table of documents and codes, then the totals."""
     rows = rows_of(faults.select("list", "annotator", "doc", "code", "fsn").orderBy("list", "annotator", "doc", "code"))
