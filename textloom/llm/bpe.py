@@ -41,7 +41,7 @@ GENERATION = 100_000
 NEVER = 1 << 30
 #: Stands before a word; larger than any token.
 START = (1 << 20) - 1
-MOST_PAIRS = 150_000
+MOST_PAIRS = 400_000
 
 
 def byte_chars() -> dict[str, str]:
@@ -186,7 +186,7 @@ class PrefixBpe:
 
     def words(self, chunk: str) -> list[str]:
         """The pre-tokenizer's words of a chunk without white space, as bytes in characters."""
-        if chunk.isascii() and chunk.isalpha():
+        if chunk.isalpha() and chunk.isascii():
             return [chunk.lower()]
         if LATIN.fullmatch(chunk) and unicodedata.is_normalized("NFC", chunk):
             low = "".join(c.lower() for c in chunk) if not chunk.isascii() else chunk.lower()
@@ -201,16 +201,19 @@ class PrefixBpe:
         """Ids as little-endian unsigned 32-bit integers; a null text has none."""
         if not text:
             return b""
-        if self.specials and self.specials.search(text):
+        if any(t in text for t in self.special):
             return b"".join(self.special.get(s) or self._plain(s) for s in self.specials.split(text))
         return self._plain(text)
 
     def _plain(self, text: str) -> bytes:
         # these four split a text for Python, but are ordinary characters to the tokenizer
-        parts = re.split(r"[^\S\x1c-\x1f]+", text) if re.search(r"[\x1c-\x1f]", text) else text.split()
+        odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+        parts = re.split(r"[^\S\x1c-\x1f]+", text) if odd else text.split()
         return b"".join(map(self.chunks.__getitem__, parts))
 
     def _chunk(self, chunk: str) -> bytes:
+        if chunk.isalpha() and chunk.isascii():
+            return self.known[chunk.lower()]
         words = self.words(chunk)
         return self.known[words[0]] if len(words) == 1 else b"".join(map(self.known.__getitem__, words))
 

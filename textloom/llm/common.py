@@ -104,6 +104,7 @@ def in_batches(df: DataFrame, run: Callable, kind: T.StructType | str) -> DataFr
 
 def unused() -> None:
     """Give memory that a task has used back, as its Python worker waits for other tasks."""
+    gc.enable()
     gc.collect()
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
@@ -140,13 +141,16 @@ def with_several_made(df: DataFrame, source: str, made: Sequence[tuple[str, T.Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make()
-        for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(start, ROWS)
-                values = [one(v) for v in rows.column(at).to_pylist()]
-                new = [pa.array([v[k] for v in values], kind) for k, kind in enumerate(to)]
-                yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in stay), *new], [*(rows.schema.names[i] for i in stay), *names])
-        del one
-        unused()
+        gc.disable()  # values make no cycles, and a search for them costs time; unused() ends this
+        try:
+            for batch in batches:
+                for start in range(0, batch.num_rows, ROWS):
+                    rows = batch.slice(start, ROWS)
+                    values = [one(v) for v in rows.column(at).to_pylist()]
+                    new = [pa.array([v[k] for v in values], kind) for k, kind in enumerate(to)]
+                    yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in stay), *new], [*(rows.schema.names[i] for i in stay), *names])
+        finally:
+            del one
+            unused()
 
     return in_batches(df, run, T.StructType([*(df.schema.fields[i] for i in stay), *(T.StructField(n, kind) for n, kind in made)]))
