@@ -37,7 +37,7 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+"
 LATIN = re.compile("[!-~¡-ɏ]*")
 PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ɏ]+")
 #: Entries of a cache's generation: the older of two goes when the newer is full, and what is used moves to the newer.
-GENERATION = 100_000
+GENERATION = 150_000
 NEVER = 1 << 30
 #: Stands before a word; larger than any token.
 START = (1 << 20) - 1
@@ -213,9 +213,10 @@ class PrefixBpe:
 
     def _chunk(self, chunk: str) -> bytes:
         if chunk.isalpha() and chunk.isascii():
-            return self.known[chunk.lower()]
-        words = self.words(chunk)
-        return self.known[words[0]] if len(words) == 1 else b"".join(map(self.known.__getitem__, words))
+            low = chunk.lower()
+            return self._word(chunk) if low == chunk else self.chunks[low]
+        # a plain word is a chunk as well, so it is kept once
+        return b"".join([self.chunks[w] if w.isalpha() and w.isascii() else self.known[w] for w in self.words(chunk)])
 
     def _word(self, word: str) -> bytes:
         ids = array("I", self.word(word + END if self.suffix else word))
