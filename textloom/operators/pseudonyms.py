@@ -18,21 +18,27 @@ from textloom.sources.scratch import durable
 SHOWN, QUARTERED = ("PROFESSION", "AGE", "DATE"), ("DATE_BIRTH", "DATE_DEATH")
 
 
-def assign_keys(spans: DataFrame, salt: str, key: str = "doc", mode: str = "keyed") -> DataFrame:
+def _surrogate(kind: Column, text: Column, shown: Column) -> Column:
+    return F.when(kind.isin(*QUARTERED), dates.quarter(text)).when(kind.isin(*SHOWN), text).otherwise(shown)
+
+
+def assign_keys(spans: DataFrame, salt: str, key: str = "doc", mode: str = "keyed", unique: bool = True) -> DataFrame:
     """(key, mode, kind, surrogate, original): one key for each distinct (kind, text) of a document, dates aside.
 
     Keys are unique over all documents: the few that a hash gives twice are made anew
     with their number among the equal ones, which is in the order of document, kind, text.
+    Without ``unique`` a key is the hash as it is, which depends on nothing but its own
+    row; two rows then share one at times, mostly of different documents.
     """
     kind = F.coalesce("kind", F.lit("None"))
     once = spans.where(F.coalesce(F.col("kind") != "DATE", F.lit(True))).select(key, kind.alias("kind"), F.col("text").alias("original")).distinct()
-    first = once.withColumn("_key", key6(F.lit(salt), key, "kind", "original"))
-    again = Window.partitionBy("_key").orderBy(key, "kind", "original")
-    numbered = first.withColumn("_n", F.row_number().over(again) - 1)
-    other = F.concat("_key", (F.col("_n") + 1).cast("string"))
-    shown = F.when(F.col("_n") == 0, F.col("_key")).otherwise(other)
-    surrogate = F.when(F.col("kind").isin(*QUARTERED), dates.quarter(F.col("original"))).when(F.col("kind").isin(*SHOWN), F.col("original")).otherwise(shown)
-    return numbered.select(key, F.lit(mode).alias("mode"), "kind", surrogate.alias("surrogate"), "original")
+    shown = key6(F.lit(salt), key, "kind", "original")
+    if unique:
+        again = Window.partitionBy("_key").orderBy(key, "kind", "original")
+        once = once.withColumn("_key", shown).withColumn("_n", F.row_number().over(again) - 1)
+        other = F.concat("_key", (F.col("_n") + 1).cast("string"))
+        shown = F.when(F.col("_n") == 0, F.col("_key")).otherwise(other)
+    return once.select(key, F.lit(mode).alias("mode"), "kind", _surrogate(F.col("kind"), F.col("original"), shown).alias("surrogate"), "original")
 
 
 def flat_keys(keys: DataFrame, project: str, key: str = "doc") -> DataFrame:
@@ -46,9 +52,12 @@ def nested_keys(keys: DataFrame, key: str = "doc") -> DataFrame:
     return one.groupBy(key).agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", F.to_json("m").alias("m")))))).alias("keys"))
 
 
-def replacements(spans: DataFrame, mode: str, salt: str = "", key: str = "doc", surrogates: DataFrame | None = None, days: int = 0, keep_unknown: bool = False) -> DataFrame:
+def replacements(spans: DataFrame, mode: str, salt: str = "", key: str = "doc", surrogates: DataFrame | None = None, days: int = 0, keep_unknown: bool = False, unique: bool = True) -> DataFrame:
     """``spans`` with ``replacement``, by mode: x, entity, keyed or surrogate.
 
+    The keyed mode shows assign_keys' keys; without ``unique`` each row's key is its own
+    hash, so spans are neither gathered nor joined.
+
     The surrogate mode takes ``surrogates`` of (kind, text, surrogate), shifts dates by
     ``days`` (birth and death dates become their quarter without a shift), and shows what
     has no surrogate as ``[KIND]``, or as it is with ``keep_unknown``, which leaks it.
@@ -58,6 +67,10 @@ def replacements(spans: DataFrame, mode: str, salt: str = "", key: str = "doc",
         return spans.withColumn("replacement", strings.mask_x(text))
     if mode == "entity":
         return spans.withColumn("replacement", strings.mask_entity(kind))
+    if mode == "keyed" and not unique:
+        named = F.coalesce(kind, F.lit("None"))
+        content = _surrogate(named, text, key6(F.lit(salt), key, named, text))
+        return spans.withColumn("replacement", strings.placeholder(kind, content))
     if mode == "keyed":
         spans = durable(spans)  # they are used twice, and finding them is what costs
         keys = assign_keys(spans, salt, key).select(F.col(key).alias("_doc"), F.col("kind").alias("_kind"), F.col("original").alias("_original"), "surrogate")

@@ -30,7 +30,7 @@ def run(docs: DataFrame, spans: DataFrame, mode: str, salt: str, key: str = "doc
         taken = spans.join(passed, key, "left_semi")
         docs = docs.join(passed, key, "left_semi")
     made = pseudonyms.replacements(taken, mode, salt, key, **options)
-    keys = pseudonyms.assign_keys(taken, salt, key, mode) if mode == "keyed" else None
+    keys = pseudonyms.assign_keys(taken, salt, key, mode, options.get("unique", True)) if mode == "keyed" else None
     return Run(pseudonyms.apply(docs, made, key), keys, verdicts, quality.counts(spans, key))
 
 
