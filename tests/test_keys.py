@@ -10,7 +10,7 @@ from textloom.plans.queries import QUERIES, SQL
 ROWS = [(2, "a password=5b9 b"), (6, "password=2559"), (1, "password=c37 and password=19e9"), (3, None)]
 
 
-@pytest.mark.parametrize("name", ["key_assignment", "flat_keys", "nested_keys"])
+@pytest.mark.parametrize("name", ["key_assignment", "flat_keys", "keyed_placeholder", "nested_keys"])
 def test_equal_hashes_as_in_sql(spark, tmp_path, name):
     spark.createDataFrame(ROWS, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
     duck = duckdb.connect()
