@@ -12,7 +12,7 @@ def table(spark, rows):
     return spark.createDataFrame(rows, "item bigint, vector array<float>")
 
 
-@pytest.mark.parametrize("name", ["knn_topk", "adaptive_k", "mass_prefix", "sampling_dist", "weighted_choice"])
+@pytest.mark.parametrize("name", ["knn_topk", "adaptive_k", "mass_prefix", "sampling_dist", "weighted_choice", "candidate_filter"])
 def test_many_copies_as_in_sql(spark, tmp_path, name):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(300, 8)).astype("float32")
