@@ -54,6 +54,15 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files (and, where it is set to, checkpoints) of data that nothing refers to any more.
+
+    It does so only when the driver collects its garbage, which a driver with little to do may not do for long.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Keys of rows to be left out that are broadcast: of 24 to 40 bytes each.
 BROADCAST_KEYS = 200_000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import durable
+from textloom.llm.common import durable, released
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
 
     Rounds of large and small stars turn each component into a star around its least
     node. A hub's neighbours are only reduced to a minimum or joined to it, never
-    gathered in one place. Loops and repeated edges are allowed; no edges, no rows.
+    gathered in one place. Loops and repeated edges are allowed; no edges, no rows. After
+    each round Spark is let remove what the earlier ones left on disk.
     """
     now = durable(edges.select(F.col(edges.columns[0]).alias("u"), F.col(edges.columns[1]).alias("v")).where("u != v").distinct())
     before = None
@@ -37,4 +38,5 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
             stars = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
             return stars.union(stars.select(F.col("root").alias("node"), "root").distinct())
         before = mark
+        released(now.sparkSession)
     raise RuntimeError("the components have not settled")
