@@ -1,10 +1,15 @@
 """The blocked search gives what a comparison of every pair gives."""
 
+import os
+import time
+
 import duckdb
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
-from textloom.operators import nearest
+from textloom.operators import nearest, similarity
 from textloom.plans.queries import QUERIES, SQL
 
 
@@ -51,3 +56,53 @@ def test_more_queries_than_a_block(spark):
     assert nearest.top_k(asked.where("query < 0"), items, 5).count() == 0
     named = items.selectExpr("concat('n', item) AS item", "vector")
     assert {r["item"] for r in nearest.top_k(asked.where("query = 3"), named, 1).collect()} == {"n3"}
+
+
+@pytest.mark.parametrize("name", ["sampling_dist"])
+def test_one_row_group_goes_to_all_cores(spark, tmp_path, monkeypatch, name):
+    rng = np.random.default_rng(3)
+    rows = pa.table({"vec_id": pa.array(range(9000), pa.int64()), "embedding": pa.array(rng.normal(size=(9000, 4)).tolist(), pa.list_(pa.float32())), "label": pa.array([i % 10 for i in range(9000)], pa.int32())})
+    pq.write_table(rows, tmp_path / "embeddings.parquet")
+    (seen := tmp_path / "seen").mkdir()
+    search = nearest.nearest
+
+    def noted(count, queries, k):
+        run = search(count, queries, k)
+
+        def noting(batches):
+            met = [b for b in batches if b.num_rows]
+            if met:
+                (seen / f"{id(met)}-{os.getpid()}-{time.time_ns()}").write_text(str(sum(b.num_rows for b in met)))
+            yield from run(iter(met))
+
+        return noting
+
+    monkeypatch.setattr(nearest, "nearest", noted)
+    mine = QUERIES[name](spark, str(tmp_path)).toPandas()
+    parts = [int(p.read_text()) for p in seen.iterdir()]
+    assert sum(parts) == 9000 and max(parts) <= 2 * 9000 / spark.sparkContext.defaultParallelism
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet'")
+    theirs = duck.execute(SQL[name]).df()
+    assert sorted(map(repr, mine[list(theirs.columns)].astype(float).values.tolist())) == sorted(map(repr, theirs.astype(float).values.tolist()))
+
+
+@pytest.mark.parametrize("k", [1, 10, 100, 700])
+def test_tiles_lose_none(k):
+    """Items in the order of their similarity, copies, vectors of zeros and such that hold no number, over several tiles."""
+    rng = np.random.default_rng(4)
+    items = rng.normal(size=(5000, 8)).astype("float32")
+    asked = np.concatenate([items[:300], np.zeros((1, 8), "float32"), np.full((1, 8), np.inf, "float32")])
+    items = items[np.argsort(items @ items[0])]
+    items[1000:1400], items[2000], items[2001, 3], items[4999] = items[4000], 0, np.nan, np.inf
+    column = lambda m: pa.array(m.tolist(), pa.list_(pa.float32()))
+    names = pa.array(range(len(asked)), pa.int64())
+    batches = [pa.record_batch([pa.array(range(s, s + 2500), pa.int64()), column(items[s : s + 2500])], ["item", "vector"]) for s in (0, 2500)]
+    found = pa.Table.from_batches(similarity.nearest(len(names), lambda: (names, similarity.vectors(column(asked))), k)(iter(batches)))
+    got = {}
+    for q, i in zip(found["query"].to_pylist(), found["item"].to_pylist(), strict=True):
+        got.setdefault(q, []).append(i)
+    a, b = similarity.Block(np.arange(len(asked)), asked.astype(float)), similarity.Block(np.arange(5000), items.astype(float))
+    for q in [*range(0, 300, 7), 300, 301]:
+        order = similarity.exact(a, b, np.full(5000, q), np.arange(5000))
+        assert sorted(got[q]) == sorted(np.lexsort((np.arange(5000), -order))[:k].tolist())
