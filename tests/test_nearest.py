@@ -58,7 +58,7 @@ def test_more_queries_than_a_block(spark):
     assert {r["item"] for r in nearest.top_k(asked.where("query = 3"), named, 1).collect()} == {"n3"}
 
 
-@pytest.mark.parametrize("name", ["sampling_dist", "weighted_choice"])
+@pytest.mark.parametrize("name", ["sampling_dist", "weighted_choice", "candidate_filter"])
 def test_one_row_group_goes_to_all_cores(spark, tmp_path, monkeypatch, name):
     rng = np.random.default_rng(3)
     rows = pa.table({"vec_id": pa.array(range(9000), pa.int64()), "embedding": pa.array(rng.normal(size=(9000, 4)).tolist(), pa.list_(pa.float32())), "label": pa.array([i % 10 for i in range(9000)], pa.int32())})
