@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from textloom.operators import nearest, similarity
 from textloom.plans.queries import QUERIES, SQL
@@ -58,7 +59,7 @@ def test_more_queries_than_a_block(spark):
     assert {r["item"] for r in nearest.top_k(asked.where("query = 3"), named, 1).collect()} == {"n3"}
 
 
-@pytest.mark.parametrize("name", ["sampling_dist", "weighted_choice", "candidate_filter"])
+@pytest.mark.parametrize("name", ["sampling_dist", "weighted_choice", "candidate_filter", "mass_prefix"])
 def test_one_row_group_goes_to_all_cores(spark, tmp_path, monkeypatch, name):
     rng = np.random.default_rng(3)
     rows = pa.table({"vec_id": pa.array(range(9000), pa.int64()), "embedding": pa.array(rng.normal(size=(9000, 4)).tolist(), pa.list_(pa.float32())), "label": pa.array([i % 10 for i in range(9000)], pa.int32())})
@@ -106,3 +107,14 @@ def test_tiles_lose_none(k):
     for q in [*range(0, 300, 7), 300, 301]:
         order = similarity.exact(a, b, np.full(5000, q), np.arange(5000))
         assert sorted(got[q]) == sorted(np.lexsort((np.arange(5000), -order))[:k].tolist())
+
+
+def test_two_cores_and_several_blocks_are_dealt_out_too(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    pq.write_table(pa.table({"item": pa.array(range(6000), pa.int64()), "vector": pa.array(rng.normal(size=(6000, 4)).tolist(), pa.list_(pa.float32()))}), tmp_path / "items.parquet")
+    items = spark.read.parquet(str(tmp_path / "items.parquet"))
+    parts, even = nearest.dealt(items, 2)
+    assert not even and max(parts.groupBy(F.spark_partition_id()).count().toPandas()["count"]) <= 3100
+    asked = items.where("item % 20 = 0").selectExpr("item AS query", "vector")
+    one, many = (sorted(map(tuple, nearest.top_k(asked, items, 5, block=b).collect())) for b in (1000, 100))
+    assert one == many and len(one) == 1500
