@@ -118,3 +118,31 @@ def test_two_cores_and_several_blocks_are_dealt_out_too(spark, tmp_path):
     asked = items.where("item % 20 = 0").selectExpr("item AS query", "vector")
     one, many = (sorted(map(tuple, nearest.top_k(asked, items, 5, block=b).collect())) for b in (1000, 100))
     assert one == many and len(one) == 1500
+
+
+@pytest.mark.parametrize("gathered", [500, 1 << 16])
+def test_copies_are_searched_once(monkeypatch, gathered):
+    """As in weighted_choice over a table of copies with shifted keys: no pair is lost, but few are compared."""
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(300, 8)).astype("float32")
+    base[5], base[6, 2] = 0, np.nan
+    items = np.tile(base, (20, 1))
+    ids = rng.permutation(len(items))
+    column = lambda m: pa.array(m.tolist(), pa.list_(pa.float32()))
+    pairs = []
+    likely = similarity.likely
+    monkeypatch.setattr(similarity, "GATHERED", gathered, raising=False)
+    monkeypatch.setattr(similarity, "likely", lambda q, i, *rest: pairs.append(len(q.at) * len(i.at)) or likely(q, i, *rest))
+    asked = np.flatnonzero(np.arange(len(items)) % 20 == 0)
+    names = pa.array(asked, pa.int64())
+    batches = [pa.record_batch([pa.array(ids[s : s + 1000], pa.int64()), column(items[s : s + 1000])], ["item", "vector"]) for s in range(0, len(items), 1000)]
+    found = pa.Table.from_batches(similarity.nearest(len(names), lambda: (names, similarity.vectors(column(items[asked]))), 10)(iter(batches)))
+    a = similarity.Block(np.arange(len(items)), items.astype(float))
+    got = {}
+    for q, i in zip(found["query"].to_pylist(), found["item"].to_pylist(), strict=True):
+        got.setdefault(q, []).append(i)
+    assert sorted(got) == asked.tolist()
+    for q in asked.tolist():
+        order = similarity.exact(a, a, np.full(len(items), q), np.arange(len(items)))
+        assert sorted(got[q]) == sorted(ids[np.lexsort((ids, -order))[:10]].tolist())
+    assert sum(pairs) <= len(np.unique(asked % 300)) * (300 * 10 if gathered > len(items) else len(items)) < len(asked) * len(items) / 15
