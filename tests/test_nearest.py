@@ -146,3 +146,15 @@ def test_copies_are_searched_once(monkeypatch, gathered):
         order = similarity.exact(a, a, np.full(len(items), q), np.arange(len(items)))
         assert sorted(got[q]) == sorted(ids[np.lexsort((ids, -order))[:10]].tolist())
     assert sum(pairs) <= len(np.unique(asked % 300)) * (300 * 10 if gathered > len(items) else len(items)) < len(asked) * len(items) / 15
+
+
+def test_items_are_read_once_for_as_many_queries_as_fit(spark, monkeypatch):
+    """As in candidate_filter, which asks for 20 neighbours: 20,500 queries are one block."""
+    asked = spark.range(20_500).selectExpr("id AS query", "array(float(cos(id)), float(sin(id))) AS vector")
+    items = spark.range(60).selectExpr("id AS item", "array(float(cos(id)), float(sin(id))) AS vector")
+    search, calls = nearest.nearest, []
+    monkeypatch.setattr(nearest, "nearest", lambda count, *rest: calls.append(count) or search(count, *rest))
+    found = nearest.top_k(asked, items, 20)
+    assert found.groupBy("rank").count().collect() and {r["count"] for r in found.groupBy("rank").count().collect()} == {20_500}
+    assert calls == [20_500]
+    assert {r["query"] for r in found.where("rank = 1 AND query < 60 AND query = item").collect()} == set(range(60))
